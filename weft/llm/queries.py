@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, license, line_dedup, mixing
+from . import bpe, ego_join, langid, license, line_dedup, mixing, perm_index, quality
 from .common import held_out_row, table
 
 
@@ -15,6 +15,10 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op2_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perm_index.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = bpe.encode(table(spark, sf_dir, "documents"), tokenizer_path(), decoded=True)
     return rows.select(
@@ -32,16 +36,24 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", held_out_row(F.col("doc_id")).alias("held_out"), "lang_pred", "score", F.array_join("langs", ",").alias("langs"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
 
 
+def op9_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ego_join.link_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op4_bpe, op5_license, op6_langid, op8_line_dedup, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op2_permutation_index, op4_bpe, op5_license, op6_langid, op7_quality, op8_line_dedup, op9_grid_join, op10_mixing)}
 
 ORACLE_SQL = {
     "op8_line_dedup": f"""
