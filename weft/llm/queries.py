@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, ego_join, langid, license, line_dedup, mixing, perm_index, quality
+from . import bpe, chosen_path, ego_join, langid, license, line_dedup, mixing, perm_index, quality, suffix_index
 from .common import held_out_row, table
 
 
@@ -15,10 +15,18 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_index.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op2_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perm_index.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op3_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = bpe.encode(table(spark, sf_dir, "documents"), tokenizer_path(), decoded=True)
     return rows.select(
@@ -53,7 +61,13 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op2_permutation_index, op4_bpe, op5_license, op6_langid, op7_quality, op8_line_dedup, op9_grid_join, op10_mixing)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_suffix_dedup, op2_permutation_index, op3_chosen_path, op4_bpe, op5_license, op6_langid, op7_quality, op8_line_dedup,
+        op9_grid_join, op10_mixing,
+    )
+}
 
 ORACLE_SQL = {
     "op8_line_dedup": f"""
