@@ -38,6 +38,7 @@ ENCODED = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType()),
 ])
 ROUND_TRIP = T.StructType([*ENCODED.fields, T.StructField("decoded", T.StringType())])
+CHECKED = T.StructType([*ENCODED.fields, T.StructField("decoded_ok", T.BooleanType())])
 
 
 def byte_symbols() -> dict[str, int]:
@@ -242,16 +243,17 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
 
-def encode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
+def encode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False, check: bool = False) -> DataFrame:
     """(doc_id, n_tokens, ids): ids as little-endian unsigned 32-bit integers, of every whole text.
 
-    With ``decoded`` also the text that the ids decode to, in the same pass.  Null and empty texts have no tokens; a
+    With ``decoded`` also the text that the ids decode to, in the same pass; with ``check`` only whether it is the text.
+    Null and empty texts have no tokens; a
     null doc_id stays null; repeated rows are encoded each; an empty table gives an empty result; other columns are
     not read.
     """
     blob = _shipped(docs.sparkSession, path)
-    schema = ROUND_TRIP if decoded else ENCODED
-    types = [pa.int64(), pa.int64(), pa.binary(), pa.string()][: len(schema)]
+    schema = CHECKED if check else ROUND_TRIP if decoded else ENCODED
+    types = [pa.int64(), pa.int64(), pa.binary(), pa.bool_() if check else pa.string()][: len(schema)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(blob.value)
@@ -259,9 +261,13 @@ def encode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str
         def rows():
             for batch in batches:
                 for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
-                    ids = vocab.encode(text.as_py() or "")
+                    plain = text.as_py() or ""
+                    ids = vocab.encode(plain)
                     row = (doc_id, len(ids) // 4, ids)
-                    yield (*row, vocab.decode(np.frombuffer(ids, "<u4").astype(np.int64))) if decoded else row
+                    if check or decoded:
+                        back = vocab.decode(np.frombuffer(ids, "<u4").astype(np.int64))
+                        row = (*row, back == plain if check else back)
+                    yield row
 
         return _sliced(rows(), schema.fieldNames(), types, lambda r: len(r[2]) + 64)
 
