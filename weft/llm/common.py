@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -48,3 +48,15 @@ def held_out_row(id_col: Column) -> Column:
 def partitions_for(rows: int, per_partition: int, spark: SparkSession) -> int:
     """Partitions for so many rows: at least the session's shuffle partitions."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_partition))
+
+
+def lowest_by_hash(rows: DataFrame, group: str, id_col: str, most: int, seed: int, salts: int = 64) -> DataFrame:
+    """The ``most`` rows of each group with the lowest hashes of their ids.
+
+    Ranked within salts of a group first, so what meets in one task is bounded by salts * most rows, whatever the input.
+    """
+    keyed = rows.withColumn("__h", F.xxhash64(F.lit(seed), id_col))
+    for part in ((group, F.pmod(F.xxhash64("__h"), F.lit(salts))), (group,)):
+        order = Window.partitionBy(*part).orderBy("__h", id_col)
+        keyed = keyed.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= most)
+    return keyed.drop("__h", "__n")

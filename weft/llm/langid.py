@@ -13,10 +13,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import train_row
+from .common import lowest_by_hash, train_row
 
 BITS = 16
 SAMPLE_DOCS = 400  # labelled documents a language, the lowest by a hash of their id
@@ -89,14 +89,11 @@ def learn(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     """
     rows = labelled.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("id").isNotNull())
-    order = Window.partitionBy("lang").orderBy("h", "id")
-    chosen = (
-        rows.select("id", "lang", F.xxhash64(F.lit(6), "id").alias("h"))
-        .withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE_DOCS).select("id", "lang").distinct()
-    )
+    chosen = lowest_by_hash(rows.select("id", "lang"), "lang", "id", SAMPLE_DOCS, 6).distinct()
     frequent = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).select("lang")
     # at most SAMPLE_DOCS * MAX_LANGS ids, so both may be broadcast
     sample = rows.join(F.broadcast(chosen.join(F.broadcast(frequent), "lang", "left_semi")), ["id", "lang"], "left_semi")
+    sample = lowest_by_hash(sample, "lang", "id", SAMPLE_DOCS, 6)  # again, as rows may repeat an id
 
     def count(t: pa.Table) -> pa.Table:
         total = np.zeros(1 << BITS, np.int64)

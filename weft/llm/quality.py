@@ -16,10 +16,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out_row, train_row
+from .common import held_out_row, lowest_by_hash, train_row
 
 SAMPLE_DOCS = 1500  # training documents a label, the lowest by a hash of their id
 BINS = 8
@@ -216,9 +216,9 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
         .groupBy("doc_id").agg(F.min("quality").cast("int").alias("y"), F.max("quality").cast("int").alias("other")).where("y = other")
     )
     ids = docs.select("doc_id").distinct()
-    order = Window.partitionBy("y").orderBy(F.xxhash64(F.lit(7), "doc_id"), "doc_id")
-    chosen = label.join(ids, "doc_id", "left_semi").withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE_DOCS)
+    chosen = lowest_by_hash(label.join(ids, "doc_id", "left_semi").select("doc_id", "y"), "y", "doc_id", SAMPLE_DOCS, 7)
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id", "y")), "doc_id")  # 2 * SAMPLE_DOCS ids
+    sample = lowest_by_hash(sample, "y", "doc_id", SAMPLE_DOCS, 7)  # again, as rows may repeat an id
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
