@@ -126,8 +126,10 @@ def _chunk_of(docs: np.ndarray, chunks: int) -> np.ndarray:
 
 def _by(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """(key, rows) for each key, rows in their order."""
+    if not len(keys):
+        return
     order = np.argsort(keys, kind="stable")
-    cuts = np.flatnonzero(np.diff(keys[order], prepend=keys[order][:1] - 1)) if len(keys) else []
+    cuts = np.flatnonzero(np.diff(keys[order], prepend=keys[order][:1] - 1))
     for s, e in zip(cuts, [*cuts[1:], len(keys)], strict=True):
         yield int(keys[order[s]]), order[s:e]
 
