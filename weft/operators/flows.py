@@ -77,13 +77,21 @@ def keyed(prorated: DataFrame) -> DataFrame:
     )
 
 
-def summed(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """Bytes added, flags joined by or, host names the least that is not empty."""
-    name = lambda c: F.min(F.nullif(F.col(c), F.lit(""))).alias(c)
-    return rows.groupBy(*keys).agg(
-        F.sum("bytes_in").alias("bytes_in"), F.sum("bytes_out").alias("bytes_out"), name("hostname"), name("hostname2"),
+def summed(rows: DataFrame, keys: tuple[str, ...], named: bool = True) -> DataFrame:
+    """Bytes added, flags joined by or, host names the least that is not empty, or null unless ``named``.
+
+    Without names the buffers are fixed in size, so Spark aggregates by hash; the least of texts takes a sort.
+    """
+    least = lambda c: F.min(F.nullif(F.col(c), F.lit(""))).alias(c)
+    out = rows.groupBy(*keys).agg(
+        F.sum("bytes_in").alias("bytes_in"), F.sum("bytes_out").alias("bytes_out"), *([least("hostname"), least("hostname2")] if named else []),
         F.bool_or("congestion").alias("congestion"), F.bool_or("non_ect").alias("non_ect"),
     )
+    return out if named else unnamed(out)
+
+
+def unnamed(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({c: F.lit(None).cast("string") for c in ("hostname", "hostname2")})
 
 
 def conversation_sums(flows: DataFrame, options: Options = Options()) -> DataFrame:  # noqa: B008

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.names import grouped_by_key
 from ..schema import CONVERSATION, INTERFACE, WINDOW
-from .flows import summed
+from .flows import summed, unnamed
 
 
 @dataclass(frozen=True)
@@ -44,7 +44,7 @@ VALUES = ("bytes_in", "bytes_out", "hostname", "hostname2", "congestion", "non_e
 
 def applications(conversations: DataFrame) -> DataFrame:
     """Conversation rows as application rows, without host names."""
-    return conversations.withColumn("hostname", F.lit(None).cast("string")).withColumn("hostname2", F.lit(None).cast("string"))
+    return unnamed(conversations)
 
 
 def hosts(conversations: DataFrame) -> DataFrame:
@@ -64,17 +64,21 @@ def complete(conversations: DataFrame) -> DataFrame:
 def sums(conversations: DataFrame) -> dict[str, DataFrame]:
     """The sums of every grouping, each from the next finer one, before any pruning.
 
-    All start from the same aggregated exchange, which Spark reuses.
+    All start from the same aggregated exchange, which Spark reuses.  Only host rows keep host names, as only they show
+    them.
     """
     keys = {name: (*WINDOW, *g.keys) for name, g in GROUPINGS.items()}
-    of = lambda rows, name: summed(rows, keys[f"EXPORTER_INTERFACE{name}"])
+
+    def of(rows: DataFrame, name: str) -> DataFrame:
+        return summed(rows, keys[f"EXPORTER_INTERFACE{name}"], named=name.endswith("HOST"))
+
     apps_tos = of(applications(conversations), "_TOS_APPLICATION")
     hosts_tos = of(hosts(conversations), "_TOS_HOST")
     tos = of(apps_tos, "_TOS")
     found = {
         "": of(tos, ""), "_TOS": tos, "_APPLICATION": of(apps_tos, "_APPLICATION"), "_HOST": of(hosts_tos, "_HOST"),
         "_CONVERSATION": of(conversations, "_CONVERSATION"), "_TOS_APPLICATION": apps_tos, "_TOS_HOST": hosts_tos,
-        "_TOS_CONVERSATION": conversations,
+        "_TOS_CONVERSATION": unnamed(conversations),
     }
     return {f"EXPORTER_INTERFACE{k}": v for k, v in found.items()}
 

@@ -354,7 +354,7 @@ def _grouping_sql(name: str, pruned: bool) -> str:
     keys, source = ", ".join((*WINDOW, *g.keys)), "conv_tos"
     if "host" in g.dims:
         source = _HOSTS_SQL
-    elif "conversation" not in g.dims:
+    else:
         source = "(SELECT * REPLACE (CAST(NULL AS VARCHAR) AS hostname) FROM conv_tos)"
     key = " || '-' || ".join(f"({_PARTS_SQL[d]})" for d in g.dims)
     rows = f"SELECT {keys}, {key} AS grouped_by_key, {_VALUES} FROM {source} GROUP BY {keys}"
@@ -373,12 +373,9 @@ def _all_sql() -> str:
         kinds = {"dscp": "INTEGER", "protocol": "INTEGER"}
         has = set(g.keys)
         columns = ", ".join(c if c in has else f"CAST(NULL AS {kinds.get(c, 'VARCHAR')}) AS {c}" for c in (*INTERFACE, "dscp", *CONVERSATION))
-        second = "hostname2" if "conversation" in g.dims else "CAST(NULL AS VARCHAR) AS hostname2"
         rows = _grouping_sql(name, not g.total)
-        if "conversation" in g.dims:
-            rows = rows.replace(_VALUES, f"{_VALUES}, min(nullif(hostname2, '')) AS hostname2", 1)
         parts.append(
-            f"SELECT range_start, range_end, '{name}' AS grouped_by, {columns}, bytes_in, bytes_out, hostname, {second}, congestion, non_ect, grouped_by_key FROM ({rows})"
+            f"SELECT range_start, range_end, '{name}' AS grouped_by, {columns}, bytes_in, bytes_out, hostname, CAST(NULL AS VARCHAR) AS hostname2, congestion, non_ect, grouped_by_key FROM ({rows})"
         )
     return " UNION ALL ".join(parts)
 
