@@ -23,10 +23,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop each source's boilerplate lines; documents of which nothing is left go."""
-    cleaned = line_dedup.dedup_lines(docs)
-    gone = (F.col("n_dropped") > 0) & (F.col("text") == "")
-    return cleaned.where(~F.coalesce(gone, F.lit(False))).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    """Drop each source's boilerplate lines; every document stays, if need be with an empty text."""
+    return line_dedup.dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
