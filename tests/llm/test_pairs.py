@@ -194,7 +194,7 @@ def test_pipeline_equals_brute_force(spark):
         if len(grams) and langid.infer(p, grams)[1][0] >= 0.5:
             kept.append((r.doc_id, r.text, r.source))
     texts = brute_lines(kept)
-    kept = [(i, new, s) for (i, old, s), new in zip(kept, texts, strict=True) if new or not old]
+    kept = [(i, new, s) for (i, _, s), new in zip(kept, texts, strict=True)]
     _, group = brute_groups([(i, t) for i, t, _ in kept])
     kept = {i: (t, s) for i, t, s in kept if group[i] == i}
     t = tokenizer()
