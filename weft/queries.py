@@ -232,7 +232,11 @@ def _streamed(spark: SparkSession, sf_dir: str, final: bool) -> DataFrame:
     from .streaming.modes import run_final, run_panes
 
     folder = _shared_folder(spark, "stream")
-    source = flows(spark, sf_dir)
+    # every partition of a stateful query keeps a store of its own, so this small stream gets few
+    session = spark.newSession()
+    partitions = min(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    session.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    source = flows(session, sf_dir)
     ingest(source, f"{folder}/in", 4)
     if final:  # a flow far in the future completes every window before it
         late = source.orderBy(F.desc("last_switched")).limit(1)
@@ -244,7 +248,7 @@ def _streamed(spark: SparkSession, sf_dir: str, final: bool) -> DataFrame:
         batch.where("grouped_by = 'EXPORTER_INTERFACE' AND node_id > 0").write.mode("overwrite").parquet(f"{folder}/out/batch={batch_id}")
 
     run = run_final if final else run_panes
-    query = run(stream_flows(spark, f"{folder}/in", files_per_trigger=1), sink, OPTIONS)
+    query = run(stream_flows(session, f"{folder}/in", files_per_trigger=1), sink, OPTIONS)
     query.option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{folder}/out").groupBy(*WINDOW, *INTERFACE).agg(F.sum("bytes_in").alias("bytes_in"), F.sum("bytes_out").alias("bytes_out"))
 
