@@ -26,10 +26,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import trimmed
+
 #: The byte-level tokenizer's piece pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-MEMO_PIECES = 250_000
-MEMO_WORDS = 150_000
+MEMO_PIECES = 150_000
+MEMO_WORDS = 100_000
 MEMO_LENGTH = 48
 PAIR_ROOM = 500_000
 SLICE_BYTES = 4 << 20
@@ -197,6 +199,10 @@ class Vocabulary:
             at = m.end()
         return b"".join([*out, self._plain(text[at:])])
 
+    def forget(self) -> None:
+        """Drop the memos; the tables stay."""
+        self.memo, self.old, self.words, self.old_words = {}, {}, {}, {}
+
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; ids beyond the vocabulary have no bytes, and broken UTF-8 becomes U+FFFD."""
         ids = ids[ids < len(self.offsets) - 1]
@@ -268,10 +274,11 @@ def encode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str
                         back = vocab.decode(np.frombuffer(ids, "<u4").astype(np.int64))
                         row = (*row, back == plain if check else back)
                     yield row
+            vocab.forget()
 
         return _sliced(rows(), schema.fieldNames(), types, lambda r: len(r[2]) + 64)
 
-    return _texts(docs, id_col, text_col).mapInArrow(run, schema)
+    return _texts(docs, id_col, text_col).mapInArrow(trimmed(run), schema)
 
 
 def decode(tokens: DataFrame, path: str) -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import checkpointed, partitions_for
+from .common import checkpointed, partitions_for, trimmed
 from .components import components, local_forest
 from .shingles import mix, shingle_sets
 
@@ -35,7 +35,7 @@ LIMIT = 64
 BLOCK = 512
 BINS = 64
 LIKELY = 0.55  # of a sketch's bins: five standard deviations below the threshold
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 BROADCAST_IDS = 1_000_000
 TOKENS_AT_ONCE = 1 << 16
 
@@ -305,7 +305,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     paths = ", ".join(f"p{d}: bigint" for d in range(DEPTH))
     schema = f"doc_id long, h1 long, h2 long, size long, sketch binary, chains array<struct<{paths}>>"
-    signed = checkpointed(texts.mapInArrow(_signatures(runs_for(recall)), schema))
+    signed = checkpointed(texts.mapInArrow(trimmed(_signatures(runs_for(recall))), schema))
     live = signed.where("size > 0 AND doc_id IS NOT NULL")
     classes = checkpointed(
         live.groupBy("h1", "h2").agg(
@@ -321,7 +321,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     n_tasks = partitions_for(members.count(), 20_000, spark)
     first_pass = _tasks(members).join(facts.drop("n_docs"), "rep").select(*key, "rep", "block", "size", "sketch", "paths", "n_paths")
     dealt = first_pass.repartition(n_tasks, *key).sortWithinPartitions(*key, "rep")
-    likely = checkpointed(dealt.mapInArrow(_likely, "path long, bi long, bj long, rep long, block long"))
+    likely = checkpointed(dealt.mapInArrow(trimmed(_likely), "path long, bi long, bj long, rep long, block long"))
 
     needed = checkpointed(likely.select("rep").distinct())
 
@@ -331,14 +331,14 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                 [pa.array(ids, pa.int64()), pa.array([t.astype("<u8").tobytes() for t in shingle_sets(part)], pa.binary())], ["rep", "tokens"]
             )
 
-    sets = _rows_of(texts, needed, spark, "left_semi").mapInArrow(whole, "rep long, tokens binary")
+    sets = _rows_of(texts, needed, spark, "left_semi").mapInArrow(trimmed(whole), "rep long, tokens binary")
     second_pass = (
         likely.join(facts.select("rep", "n_docs", "paths"), "rep").join(sets.dropDuplicates(["rep"]), "rep")
         .select(*key, "rep", "block", "n_docs", "paths", "tokens")
     )
     n_tasks = partitions_for(likely.count(), 4_000, spark)
     dealt = second_pass.repartition(n_tasks, *key).sortWithinPartitions(*key, "rep")
-    found = checkpointed(dealt.mapInArrow(_verify, "a long, b long, links long"))
+    found = checkpointed(dealt.mapInArrow(trimmed(_verify), "a long, b long, links long"))
 
     counts = found.where("a = b").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     group = components(found.where("a <> b").select("a", "b")).withColumnRenamed("node", "rep")

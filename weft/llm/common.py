@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -60,3 +64,21 @@ def lowest_by_hash(rows: DataFrame, group: str, id_col: str, most: int, seed: in
         order = Window.partitionBy(*part).orderBy("__h", id_col)
         keyed = keyed.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= most)
     return keyed.drop("__h", "__n")
+
+
+def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` over a partition's batches, handing freed memory back to the system at its end.
+
+    Python workers are reused from task to task and stage to stage, and keep what they have freed.
+    """
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+                libc.malloc_trim(0)
+
+    return wrapped
