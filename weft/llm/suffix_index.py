@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chosen_path import BROADCAST_IDS
-from .common import checkpointed
+from .common import checkpointed, trimmed
 from .shingles import mix
 
 LENGTH = 50
@@ -42,7 +42,9 @@ WIDTH = GRAM + 2 * SIDE + 2  # gram, right side, left side backwards, and how ma
 HOT = 2048
 PIECE = 1 << 20
 CHUNK_BYTES = 4 << 20
-SLICE_BYTES = 8 << 20
+BUCKET_BYTES = 64 << 20  # of text, whose anchors' hashes make one bucket
+SLICE_BYTES = 32 << 20  # of text, whose rows are formed together: large slices make few, large rows
+MOST_BUCKETS, MOST_CHUNKS = 1 << 18, 1 << 20
 BATCH = 1 << 16
 BROADCAST_BYTES = 24 << 20
 _BASE = 0x100000001B3
@@ -109,6 +111,26 @@ def anchors(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, np.concatenate(hashes)[index]
 
 
+def _press(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(data)
+
+
+def _unpress(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
+def _press_ints(values: np.ndarray, kind: str = "<i8") -> bytes:
+    """Integers compressed byte plane by byte plane."""
+    raw = np.ascontiguousarray(values.astype(kind)).view(np.uint8).reshape(-1, np.dtype(kind).itemsize)
+    return _press(raw.T.tobytes())
+
+
+def _unpress_ints(blobs: list[bytes], kind: str = "<i8") -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    parts = [np.ascontiguousarray(np.frombuffer(_unpress(b), np.uint8).reshape(width, -1).T).view(kind).ravel() for b in blobs]
+    return np.concatenate(parts) if parts else np.empty(0, kind)
+
+
 def _pack48(h: np.ndarray) -> bytes:
     return np.ascontiguousarray(h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
 
@@ -144,6 +166,7 @@ def _schema(**fields) -> pa.Schema:
 
 
 _I, _B = pa.int64(), pa.binary()
+TEXTS = _schema(chunk=_I, docs=_B, lengths=_B, texts=_B)
 HASHES = _schema(bucket=_I, docs=_B, counts=_B, hashes=_B)
 SHARED = _schema(chunk=_I, docs=_B, counts=_B, hashes=_B)
 SENT = _schema(span=pa.bool_(), key=_I, docs=_B, places=_B, what=_B)
@@ -163,9 +186,9 @@ def _hash_rows(buckets: int):
         h = np.concatenate(hashes)
         who = np.repeat(np.arange(len(ids)), [len(x) for x in hashes])
         rows, ids = [], np.array(ids, np.int64)
-        for bucket, at in _by(((h & np.uint64(0xFFFF)) % np.uint64(buckets)).astype(np.int64)):
+        for bucket, at in _by((h % np.uint64(buckets)).astype(np.int64)):
             local, counts = np.unique(who[at], return_counts=True)
-            rows.append((bucket, ids[local].astype("<i8").tobytes(), counts.astype("<u4").tobytes(), _pack48(h[at] >> np.uint64(16))))
+            rows.append((bucket, _press_ints(ids[local]), _press_ints(counts, "<u4"), _pack48(h[at] >> np.uint64(16))))
         return _batch(rows, HASHES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,8 +214,7 @@ def _shared_rows(chunks: int, hot: int):
     """A bucket's hash rows to rows of those hashes that several documents have, by chunk of documents."""
 
     def run(table: pa.Table) -> pa.Table:
-        counts = np.frombuffer(b"".join(table["counts"].to_pylist()), "<u4")
-        docs = np.repeat(np.frombuffer(b"".join(table["docs"].to_pylist()), "<i8"), counts)
+        docs = np.repeat(_unpress_ints(table["docs"].to_pylist()), _unpress_ints(table["counts"].to_pylist(), "<u4"))
         h = _unpack48(table["hashes"].to_pylist())
         order = np.argsort(h, kind="stable")
         first = np.flatnonzero(np.diff(h[order], prepend=h[order][:1] + np.uint64(1)))
@@ -270,11 +292,10 @@ def _send_rows(buckets: int):
         order = np.argsort(owner, kind="stable")
         owner, wanted = owner[order], wanted[order]
         rows, docs, places, keys = [np.empty((0, WIDTH), np.uint8)], [], [], []
-        for doc_id, text in zip(texts["doc_id"].to_pylist(), texts["text"], strict=True):
+        for doc_id, x in _unpacked(texts):
             s, e = np.searchsorted(owner, [doc_id, doc_id + 1])
             if s == e:
                 continue
-            x = np.frombuffer(text.as_buffer(), np.uint8)
             at, h = anchors(x)
             own = np.sort(wanted[s:e] & ~_HOT_BIT)
             hot = np.sort(wanted[s:e][wanted[s:e] >= _HOT_BIT] & ~_HOT_BIT)
@@ -304,11 +325,10 @@ def _send_rows(buckets: int):
         out = []
         if here.any():
             spans = _covered(around[here], places[here])
-            out.append((True, int(texts["chunk"][0].as_py()), docs[here].astype("<i8").tobytes(), b"", spans.astype("<u4").tobytes()))
+            out.append((True, int(texts["chunk"][0].as_py()), _press_ints(docs[here]), b"", _press_ints(spans.ravel(), "<u4")))
         around, docs, places, keys = around[~here], docs[~here], places[~here], keys[~here]
-        press = zstandard.ZstdCompressor(level=1).compress
-        for bucket, at in _by(((keys & np.uint64(0xFFFF)) % np.uint64(buckets)).astype(np.int64)):
-            out.append((False, bucket, docs[at].astype("<i8").tobytes(), places[at].astype("<u4").tobytes(), press(around[at].tobytes())))
+        for bucket, at in _by((keys % np.uint64(buckets)).astype(np.int64)):
+            out.append((False, bucket, _press_ints(docs[at]), _press_ints(places[at], "<u4"), _press(around[at].tobytes())))
         return pa.Table.from_batches([_batch(out, SENT)])
 
     return run
@@ -356,13 +376,12 @@ def _match_rows(chunks: int):
     def run(table: pa.Table) -> pa.Table:
         settled = table.filter(table["span"])
         table = table.filter(pc.invert(table["span"]))
-        docs = np.frombuffer(b"".join(table["docs"].to_pylist()), "<i8")
-        places = np.frombuffer(b"".join(table["places"].to_pylist()), "<u4").astype(np.int64)
-        unpress = zstandard.ZstdDecompressor().decompress
-        around = np.frombuffer(b"".join(unpress(x) for x in table["what"].to_pylist()), np.uint8).reshape(-1, WIDTH)
+        docs = _unpress_ints(table["docs"].to_pylist())
+        places = _unpress_ints(table["places"].to_pylist(), "<u4").astype(np.int64)
+        around = np.frombuffer(b"".join(map(_unpress, table["what"].to_pylist())), np.uint8).reshape(-1, WIDTH)
         ids, spans = match_bucket(around, docs, places)
-        ids = np.concatenate([ids, np.frombuffer(b"".join(settled["docs"].to_pylist()), "<i8")])
-        spans = np.concatenate([spans, np.frombuffer(b"".join(settled["what"].to_pylist()), "<u4").reshape(-1, 2)])
+        ids = np.concatenate([ids, _unpress_ints(settled["docs"].to_pylist())])
+        spans = np.concatenate([spans, _unpress_ints(settled["what"].to_pylist(), "<u4").reshape(-1, 2)])
         rows = [(c, ids[at].astype("<i8").tobytes(), spans[at].astype("<u4").tobytes()) for c, at in _by(_chunk_of(ids, chunks))]
         return pa.Table.from_batches([_batch(rows, SPANS)])
 
@@ -407,11 +426,12 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     single = texts.join(away, F.col("doc_id") == F.col("__copy"), "left_anti")
 
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    chunks = max(least, -(-total // CHUNK_BYTES))
-    buckets = min(1 << 16, 2 * chunks)
-    hashes = single.mapInArrow(_hash_rows(buckets), _ddl(HASHES))
+    chunks = min(MOST_CHUNKS, max(least, -(-total // CHUNK_BYTES)))
+    buckets = min(MOST_BUCKETS, 2 * chunks)
+    hash_buckets = min(MOST_BUCKETS, max(least, -(-total // BUCKET_BYTES)))
+    hashes = single.mapInArrow(trimmed(_hash_rows(hash_buckets)), _ddl(HASHES))
     shared = hashes.groupBy("bucket").applyInArrow(_shared_rows(chunks, hot), _ddl(SHARED))
-    placed = single.mapInArrow(_with_chunk(chunks), "chunk long, doc_id long, text string")
+    placed = single.mapInArrow(trimmed(_text_rows(chunks)), _ddl(TEXTS))
     sent = placed.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(_send_rows(buckets), _ddl(SENT))
     matched = sent.groupBy("key").applyInArrow(_match_rows(chunks), _ddl(SPANS))
     merged = matched.groupBy("chunk").applyInArrow(_merge_rows, _ddl(MERGED))
@@ -420,15 +440,40 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     )
 
 
-def _with_chunk(chunks: int):
+def _text_rows(chunks: int):
+    """Texts to rows of compressed texts for each chunk: a third of what plain rows would shuffle."""
+
+    def emit(ids: list[int], texts: list[bytes]) -> pa.RecordBatch:
+        rows, docs = [], np.array(ids, np.int64)
+        for chunk, at in _by(_chunk_of(docs, chunks)):
+            own = [texts[k] for k in at]
+            rows.append((chunk, _press_ints(docs[at]), _press_ints(np.array([len(t) for t in own]), "<u4"), _press(b"".join(own))))
+        return _batch(rows, TEXTS)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, texts, size = [], [], 0
         for batch in batches:
-            chunk = _chunk_of(batch["doc_id"].to_numpy(), chunks)
-            yield pa.RecordBatch.from_arrays([pa.array(chunk), batch["doc_id"], batch["text"]], ["chunk", "doc_id", "text"])
+            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
+                ids.append(doc_id)
+                texts.append(text.as_buffer().to_pybytes())
+                size += len(texts[-1])
+                if size > SLICE_BYTES:
+                    yield emit(ids, texts)
+                    ids, texts, size = [], [], 0
+        if ids:
+            yield emit(ids, texts)
 
     return run
 
 
+def _unpacked(table: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    for docs, lengths, texts in zip(*(table[c].to_pylist() for c in ("docs", "lengths", "texts")), strict=True):
+        raw, at = np.frombuffer(_unpress(texts), np.uint8), 0
+        for doc_id, n in zip(_unpress_ints([docs]).tolist(), _unpress_ints([lengths], "<u4").tolist(), strict=True):
+            yield doc_id, raw[at : at + n]
+            at += n
+
+
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", keep_bytes: bool = False, hot: int = HOT) -> DataFrame:
     """One row a document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and with ``keep_bytes`` the kept bytes.
 
