@@ -51,8 +51,13 @@ def _words(flat: Column) -> Column:
 def starts_of(words: Column, phrase: str) -> Column:
     """Word positions, from 0, at which the phrase's words stand one after another."""
     parts = phrase.split()
-    places = F.sequence(F.lit(0), F.size(words) - F.lit(len(parts)))
-    return F.filter(places, lambda i: F.slice(words, i + 1, len(parts)) == F.array(*map(F.lit, parts)))
+    wanted = F.array(*map(F.lit, parts))
+
+    def places(ws: Column) -> Column:
+        return F.filter(F.sequence(F.lit(0), F.size(ws) - F.lit(len(parts))), lambda i: F.slice(ws, i + 1, len(parts)) == wanted)
+
+    # bound to a lambda variable, the words are worked out once a text and not once a place
+    return F.element_at(F.transform(F.array(words), places), 1)
 
 
 def token_order(docs: DataFrame, vocabulary: list[str], text_col: str = "text") -> list[str]:
