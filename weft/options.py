@@ -21,7 +21,7 @@ class Options:
     accumulation_delay_ms: int = 0
     kafka_bootstrap: str = "localhost:9092"
     kafka_properties: str = ""
-    flow_source_topic: str = "opennms-flows"
+    flow_source_topic: str = "flows"
     flow_dest_topic: str = ""
     elastic_url: str = "http://localhost:9200"
     elastic_user: str = ""
