@@ -33,8 +33,11 @@ def brute_removed(rows):
     return out
 
 
-@pytest.mark.parametrize("hot", [suffix_index.HOT, 2])
-def test_suffix_dedup_equals_brute_force(spark, awkward, nothing, hot):
+@pytest.mark.parametrize(("hot", "broadcast"), [(suffix_index.HOT, True), (2, False)])
+def test_suffix_dedup_equals_brute_force(spark, awkward, nothing, hot, broadcast, monkeypatch):
+    if not broadcast:  # the way beyond the size checks
+        monkeypatch.setattr(suffix_index, "BROADCAST_BYTES", -1)
+        monkeypatch.setattr(suffix_index, "BROADCAST_IDS", -1)
     docs = table(spark, SF, "documents").select("doc_id", "text")
     passage = "some passage of well over fifty bytes that many documents happen to share, word by word"
     more = [(10_000 + i, f"{'ab ' * i}{passage[i % 3:]}{i}") for i in range(30)]
@@ -98,7 +101,7 @@ def near_copies(n, groups, seed):
     return rows
 
 
-def test_chosen_path_equals_brute_force(spark, awkward, nothing):
+def test_chosen_path_equals_brute_force(spark, awkward, nothing, monkeypatch):
     rows = [(r.doc_id + 100_000, r.text) for r in table(spark, SF, "documents").collect()] + near_copies(90, 2, 1) + near_copies(3, 20, 2)[60 - 12 :]
     rows = list({i: (i, t) for i, t in rows}.values())
     links, group = brute_groups(rows)
@@ -110,6 +113,7 @@ def test_chosen_path_equals_brute_force(spark, awkward, nothing):
     assert (got[4].n_links, got[5].class_id, got[5].kept) == (1, 4, False) and got[10].group_id == 9
     assert (got[1].n_links, got[2].n_links, got[3].n_links, got[1].kept, got[None].kept) == (0, 0, 0, True, True)
     assert chosen_path.near_duplicates(nothing).count() == 0
+    monkeypatch.setattr(chosen_path, "BROADCAST_IDS", -1)  # the way beyond the size check
     kept = chosen_path.one_of_each_group(awkward)
     assert kept.columns == awkward.columns and {r.doc_id for r in kept.collect()} == {1, 2, 3, 4, 6, 7, 8, 9, 11, None}
 

@@ -94,6 +94,8 @@ def brute_lines(docs):
 def test_line_dedup_in_both_joins(spark, awkward, nothing, limit, monkeypatch):
     monkeypatch.setattr(line_dedup, "BROADCAST_LINES", limit)
     rows = [(i, f"menu\nown {i}\n menu \n\nfoot {i % 3}", ["h", None][i % 2]) for i in range(40)] + [(90, None, "h"), (91, "menu", None)]
+    # a page that has a line with and without white space around it counts once
+    rows += [(100 + i, "few\n few\nfew " if i < 3 else f"page {i}", "indented") for i in range(20)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = {r.doc_id: r.text for r in line_dedup.dedup_lines(df).collect()}
     assert [got[r[0]] for r in rows] == brute_lines(rows) and got[91] == ""

@@ -31,8 +31,8 @@ def boilerplate_lines(docs: DataFrame, *, text_col: str = "text", host_col: str
     pages = docs.select(F.col(host_col).alias("host"), F.col(text_col).alias("text"))
     totals = pages.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
     # a line counts once a page, however often the page repeats it
-    lines = pages.select("host", F.explode(F.array_distinct(F.split("text", "\n"))).alias("line"))
-    lines = lines.select("host", F.trim("line").alias("line")).where("line <> ''")
+    trimmed = F.transform(F.split("text", "\n"), lambda line: F.trim(line))
+    lines = pages.select("host", F.explode(F.array_distinct(trimmed)).alias("line")).where("line <> ''")
     h1, h2 = _hash(F.col("line"))
     counted = lines.groupBy("host", h1.alias("h1"), h2.alias("h2")).agg(F.count(F.lit(1)).alias("pages"))
     counted = counted.where(F.col("pages") >= min_pages)
