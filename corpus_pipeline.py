@@ -18,7 +18,7 @@ from weft.llm.queries import tokenizer_path
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a recognised language: null texts, texts without a letter, texts of no main language."""
+    """Drop documents without a recognised language (op6's ``und``): null texts and texts without a letter."""
     return langid.keep_identified(docs)
 
 

@@ -128,6 +128,22 @@ def test_mixture_of_two_languages(spark):
     assert [names[k] for k in which] == ["fr"] and share[0] == 1
 
 
+def test_kept_is_what_has_a_language(spark, awkward, nothing):
+    docs = table(spark, "/root/testdata/sf0.01", "documents").where("doc_id < 500")
+    texts = {r.lang: r.text for r in docs.where("length(text) BETWEEN 1000 AND 3000").collect()}
+    assert len(texts) == 4
+    names = sorted(texts)
+    mixed = [(20_000 + n, "\n".join(texts[k][:900] for k in names[:n]), None, "m", 0) for n in (3, 4)] + [(20_005, "1 2 3", None, "m", 0)]
+    rows = docs.unionByName(spark.createDataFrame(mixed, "doc_id long, text string, lang string, source string, n_chars long"))
+    predicted = langid.identify(rows).collect()
+    assert {r.doc_id: r.score < 0.5 for r in predicted}[20_003] and {r.doc_id: r.score < 0.5 for r in predicted}[20_004]
+    kept = langid.keep_identified(rows)
+    assert kept.columns == rows.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in predicted if r.lang_pred != "und")
+    assert {r.doc_id for r in langid.keep_identified(awkward).collect()}.isdisjoint({1, 2, 3}) and langid.keep_identified(awkward).count() == 10
+    assert langid.keep_identified(nothing).count() == 0
+
+
 def test_quality(spark, awkward, nothing):
     docs, labels = table(spark, "/root/testdata/sf0.1", "documents").where("doc_id < 3000"), table(spark, "/root/testdata/sf0.1", "labels")
     truth = {r.doc_id: r.quality for r in labels.collect()}

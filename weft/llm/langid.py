@@ -107,6 +107,15 @@ def learn(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     return [k for k, _ in parts], (counts / counts.sum(1, keepdims=True)).T.copy()
 
 
+def judge(langs: list[str], p: np.ndarray, text: str | None) -> tuple[str, float, list[str], list[float]]:
+    """(lang_pred, score, langs, shares) of a text; ``und``, 0, and empty lists if no language can be told."""
+    grams = trigrams(text or "") if langs else ()
+    if not len(grams):
+        return "und", 0.0, [], []
+    which, share = infer(p, grams)
+    return langs[which[0]], min(1.0, float(share[0])), [langs[k] for k in which], share.tolist()
+
+
 def predict(docs: DataFrame, langs: list[str], p: np.ndarray, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score, langs, shares) of every row from its whole text alone.
 
@@ -120,12 +129,7 @@ def predict(docs: DataFrame, langs: list[str], p: np.ndarray, *, id_col: str = "
         for batch in batches:
             out = []
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
-                grams = trigrams(text.as_py() or "") if names else ()
-                if len(grams):
-                    which, share = infer(probs, grams)
-                    out.append((doc_id, names[which[0]], min(1.0, float(share[0])), [names[k] for k in which], share.tolist()))
-                else:
-                    out.append((doc_id, "und", 0.0, [], []))
+                out.append((doc_id, *judge(names, probs, text.as_py())))
             if out:
                 types = [pa.int64(), pa.string(), pa.float64(), pa.list_(pa.string()), pa.list_(pa.float64())]
                 columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)]
@@ -140,8 +144,8 @@ def identify(docs: DataFrame) -> DataFrame:
     return predict(docs, langs, p)
 
 
-def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` whose language is known and makes up at least half of the text, all columns kept.
+def keep_identified(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` for which ``identify`` tells a language, mixtures whatever their shares, all columns kept.
 
     The decision is made where the row is: whole texts don't go through a shuffle for it.
     """
@@ -151,11 +155,6 @@ def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
     @F.pandas_udf("boolean")
     def known(texts):
         names, probs = model.value
-
-        def judge(text) -> bool:
-            grams = trigrams(text or "") if names else ()
-            return len(grams) > 0 and infer(probs, grams)[1][0] >= least
-
-        return texts.map(judge).astype(bool)
+        return texts.map(lambda text: judge(names, probs, text)[0] != "und").astype(bool)
 
     return docs.where(known(F.col("text")))
