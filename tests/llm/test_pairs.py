@@ -52,6 +52,27 @@ def test_suffix_dedup_equals_brute_force(spark, awkward, nothing, hot, broadcast
     assert suffix_index.remove_repeats(nothing).count() == 0
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_suffix_dedup_of_ids_with_several_texts(spark, broadcast, monkeypatch):
+    if not broadcast:
+        monkeypatch.setattr(suffix_index, "BROADCAST_BYTES", -1)
+        monkeypatch.setattr(suffix_index, "BROADCAST_IDS", -1)
+    rng = np.random.default_rng(6)
+    a, b, c, d = ("".join(rng.choice(list("abcdefgh "), 300)) for _ in range(4))
+    # id 2: a copy of id 1's text, a text of its own and a short one; ids 3 and 4: strings of that text, two texts with a common string
+    rows = [(1, a), (2, a), (2, b), (2, "short"), (2, None), (3, "x" + b[40:200]), (3, c[:100] + b[:60]), (3, c), (3, c), (4, d + c[20:90]), (4, d), (5, d[100:]), (None, a)]
+    expected = []
+    for k, (i, t) in enumerate(rows):
+        raw = (t or "").encode()
+        cover, known = np.zeros(len(raw), bool), {s.encode()[x : x + 50] for j, s in rows if j and i and j < i and s for x in range(len(s) - 49)}
+        for x in range(len(raw) - 49):
+            if raw[x : x + 50] in known:
+                cover[x : x + 50] = True
+        expected.append((i, len(raw), int(cover.sum()), int((np.diff(cover.astype(np.int8), prepend=0) == 1).sum()), hashlib.sha256(np.frombuffer(raw, np.uint8)[~cover].tobytes()).hexdigest()))
+    got = suffix_index.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(expected, key=str)
+
+
 def test_suffix_family_keeps_geometric_levels():
     rng = np.random.default_rng(4)
     family, seen = suffix_index.SuffixFamily(), {}

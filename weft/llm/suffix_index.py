@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .chosen_path import BROADCAST_IDS
@@ -166,12 +166,13 @@ def _schema(**fields) -> pa.Schema:
 
 
 _I, _B = pa.int64(), pa.binary()
-TEXTS = _schema(chunk=_I, docs=_B, lengths=_B, texts=_B)
+TEXTS = _schema(chunk=_I, docs=_B, starts=_B, lengths=_B, texts=_B)
 HASHES = _schema(bucket=_I, docs=_B, counts=_B, hashes=_B)
 SHARED = _schema(chunk=_I, docs=_B, counts=_B, hashes=_B)
 SENT = _schema(span=pa.bool_(), key=_I, docs=_B, places=_B, what=_B)
 SPANS = _schema(chunk=_I, docs=_B, spans=_B)
 MERGED = _schema(doc_id=_I, spans=_B)
+DEALT = _schema(doc_id=_I, h1=_I, h2=_I, n=_I, spans=_B)
 
 
 def _ddl(schema: pa.Schema) -> str:
@@ -292,7 +293,7 @@ def _send_rows(buckets: int):
         order = np.argsort(owner, kind="stable")
         owner, wanted = owner[order], wanted[order]
         rows, docs, places, keys = [np.empty((0, WIDTH), np.uint8)], [], [], []
-        for doc_id, x in _unpacked(texts):
+        for doc_id, start, x in _unpacked(texts):
             s, e = np.searchsorted(owner, [doc_id, doc_id + 1])
             if s == e:
                 continue
@@ -313,7 +314,7 @@ def _send_rows(buckets: int):
                 around = np.concatenate([around[~is_hot], single])
             rows.append(around)
             docs.append(np.full(len(at), doc_id, np.int64))
-            places.append(at)
+            places.append(start + at)
             keys.append(h)
         around = np.concatenate(rows)
         if not len(around):
@@ -404,26 +405,60 @@ def _merge_rows(table: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_batch(rows, MERGED)])
 
 
+def _identified(rows: DataFrame) -> DataFrame:
+    """rows (doc_id, text) with what tells a text from others of its id: h1, h2, n; null texts are empty."""
+    text = F.coalesce("text", F.lit(""))
+    return rows.withColumns({"h1": F.xxhash64(text), "h2": F.xxhash64(F.lit(1), text), "n": F.octet_length(text).cast("long")})
+
+
+def _deal_rows(merged: pa.Table, parts: pa.Table) -> pa.Table:
+    """The spans of an id that stands for several texts to one row a text, counted from that text's start."""
+    spans = np.frombuffer(merged["spans"][0].as_py(), "<u4").reshape(-1, 2).astype(np.int64) if merged.num_rows else np.empty((0, 2), np.int64)
+    rows = []
+    for part in parts.to_pylist():
+        s, e = np.searchsorted(spans[:, 0], [part["start"], part["start"] + part["n"]])
+        if s < e:
+            rows.append((part["doc_id"], part["h1"], part["h2"], part["n"], (spans[s:e] - part["start"]).astype("<u4").tobytes()))
+    return pa.Table.from_batches([_batch(rows, DEALT)])
+
+
+def _few(rows: DataFrame) -> DataFrame:
+    """rows, broadcast in joins up to BROADCAST_IDS of them."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_IDS else rows
+
+
 def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
     """(doc_id, spans, whole): the repeated byte ranges of each document that has any.
 
     ``spans`` holds pairs of little-endian unsigned 32-bit integers (start, end), disjoint and in order; ``whole`` marks
-    copies of the text of a smaller id, which are repeated from end to end.
+    copies of the text of a smaller id, which are repeated from end to end.  Where an id stands for several texts, rows
+    are of single texts and h1, h2 and n (see ``_identified``) tell which.
     """
     spark = docs.sparkSession
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    texts = texts.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= LENGTH))
-    hashed = checkpointed(
-        texts.select("doc_id", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2"), F.octet_length("text").cast("long").alias("n"))
-    )
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where(F.col("doc_id").isNotNull())
+    every = checkpointed(_identified(rows).drop("text"))
+    texts = rows.where(F.octet_length("text") >= LENGTH)
+    hashed = every.where(F.col("n") >= LENGTH)
     total = hashed.agg(F.sum("n")).first()[0] or 0
     first = hashed.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("last")).where("last > least")
-    copies = checkpointed(hashed.join(first, ["h1", "h2", "n"]).where("doc_id > least").select("doc_id").distinct())
-    away = copies.select(F.col("doc_id").alias("__copy"))
-    if copies.count() <= BROADCAST_IDS:
-        away = F.broadcast(away)
-    # an id that stands for a copy and another text is left in: its other text still counts
-    single = texts.join(away, F.col("doc_id") == F.col("__copy"), "left_anti")
+    key = ["doc_id", "h1", "h2", "n"]
+    one = F.struct("h1", "h2", "n")
+    several = checkpointed(every.groupBy("doc_id").agg(F.min(one).alias("a"), F.max(one).alias("b")).where("a <> b").select("doc_id"))
+    by = key if several.count() else ["doc_id"]  # ids of one text, as ids should be, need no more
+    copies = checkpointed(hashed.join(first, ["h1", "h2", "n"]).where("doc_id > least").select(*key).distinct())
+    away = _few(copies.select(*by).distinct())
+    if by == key:
+        # the texts of an id are one document of several parts, a byte apart: none is smaller than another
+        parts = every.join(_few(several), "doc_id", "left_semi").distinct()
+        before = Window.partitionBy("doc_id").orderBy("h1", "h2", "n").rowsBetween(Window.unboundedPreceding, -1)
+        parts = checkpointed(parts.withColumn("start", F.coalesce(F.sum(F.col("n") + 1).over(before), F.lit(0))))
+        most = parts.agg(F.max(F.col("start") + F.col("n"))).first()[0]
+        if most >= 1 << 32:
+            raise ValueError(f"the texts of one id make up {most} bytes, places have 32 bits")
+        texts = _identified(texts).join(_few(parts), key, "left").withColumn("start", F.coalesce("start", F.lit(0)))
+    else:
+        texts = texts.withColumn("start", F.lit(0).cast("long"))
+    single = texts.join(away, by, "left_anti").select("doc_id", "start", "text")
 
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     chunks = min(MOST_CHUNKS, max(least, -(-total // CHUNK_BYTES)))
@@ -435,42 +470,48 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     sent = placed.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(_send_rows(buckets), _ddl(SENT))
     matched = sent.groupBy("key").applyInArrow(_match_rows(chunks), _ddl(SPANS))
     merged = matched.groupBy("chunk").applyInArrow(_merge_rows, _ddl(MERGED))
+    if by == key:
+        merged = checkpointed(merged)
+        dealt = merged.join(_few(several), "doc_id", "left_semi").groupBy("doc_id").cogroup(parts.groupBy("doc_id")).applyInArrow(_deal_rows, _ddl(DEALT))
+        others = merged.join(_few(several), "doc_id", "left_anti").join(every.distinct(), "doc_id")
+        merged = others.select(*key, "spans").unionByName(dealt)
     return merged.withColumn("whole", F.lit(False)).unionByName(
-        copies.select("doc_id", F.lit(None).cast("binary").alias("spans"), F.lit(True).alias("whole"))
+        copies.select(*by, F.lit(None).cast("binary").alias("spans"), F.lit(True).alias("whole"))
     )
 
 
 def _text_rows(chunks: int):
     """Texts to rows of compressed texts for each chunk: a third of what plain rows would shuffle."""
 
-    def emit(ids: list[int], texts: list[bytes]) -> pa.RecordBatch:
-        rows, docs = [], np.array(ids, np.int64)
+    def emit(ids: list[int], starts: list[int], texts: list[bytes]) -> pa.RecordBatch:
+        rows, docs, begin = [], np.array(ids, np.int64), np.array(starts, np.int64)
         for chunk, at in _by(_chunk_of(docs, chunks)):
             own = [texts[k] for k in at]
-            rows.append((chunk, _press_ints(docs[at]), _press_ints(np.array([len(t) for t in own]), "<u4"), _press(b"".join(own))))
+            rows.append((chunk, _press_ints(docs[at]), _press_ints(begin[at], "<u4"), _press_ints(np.array([len(t) for t in own]), "<u4"), _press(b"".join(own))))
         return _batch(rows, TEXTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, texts, size = [], [], 0
+        ids, starts, texts, size = [], [], [], 0
         for batch in batches:
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
+            for doc_id, start, text in zip(batch["doc_id"].to_pylist(), batch["start"].to_pylist(), batch["text"], strict=True):
                 ids.append(doc_id)
+                starts.append(start)
                 texts.append(text.as_buffer().to_pybytes())
                 size += len(texts[-1])
                 if size > SLICE_BYTES:
-                    yield emit(ids, texts)
-                    ids, texts, size = [], [], 0
+                    yield emit(ids, starts, texts)
+                    ids, starts, texts, size = [], [], [], 0
         if ids:
-            yield emit(ids, texts)
+            yield emit(ids, starts, texts)
 
     return run
 
 
-def _unpacked(table: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
-    for docs, lengths, texts in zip(*(table[c].to_pylist() for c in ("docs", "lengths", "texts")), strict=True):
+def _unpacked(table: pa.Table) -> Iterator[tuple[int, int, np.ndarray]]:
+    for docs, starts, lengths, texts in zip(*(table[c].to_pylist() for c in ("docs", "starts", "lengths", "texts")), strict=True):
         raw, at = np.frombuffer(_unpress(texts), np.uint8), 0
-        for doc_id, n in zip(_unpress_ints([docs]).tolist(), _unpress_ints([lengths], "<u4").tolist(), strict=True):
-            yield doc_id, raw[at : at + n]
+        for doc_id, start, n in zip(_unpress_ints([docs]).tolist(), *(_unpress_ints([x], "<u4").tolist() for x in (starts, lengths)), strict=True):
+            yield doc_id, start, raw[at : at + n]
             at += n
 
 
@@ -481,12 +522,14 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     one id are no smaller than each other.  An empty table gives an empty result; other columns are not read.
     """
     spans = checkpointed(repeated_spans(docs, id_col=id_col, text_col=text_col, hot=hot))
-    spans = spans.groupBy(F.col("doc_id").alias("__id")).agg(F.max("spans").alias("spans"), F.max("whole").alias("whole"))
-    size = spans.agg(F.sum(F.coalesce(F.length("spans"), F.lit(0)) + 24)).first()[0] or 0
+    by = [c for c in ("doc_id", "h1", "h2", "n") if c in spans.columns]
+    spans = spans.groupBy(*by).agg(F.max("spans").alias("spans"), F.max("whole").alias("whole"))
+    size = spans.agg(F.sum(F.coalesce(F.length("spans"), F.lit(0)) + 16 + 8 * len(by))).first()[0] or 0
     if size <= BROADCAST_BYTES:
         spans = F.broadcast(spans)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    joined = rows.join(spans, F.col("doc_id") == F.col("__id"), "left").select("doc_id", "text", "spans", "whole")
+    rows = rows if by == ["doc_id"] else _identified(rows)
+    joined = rows.join(spans, by, "left").select("doc_id", "text", "spans", "whole")
     schema = _schema(doc_id=_I, n_bytes=_I, n_removed=_I, n_spans=_I, kept_sha256=pa.string(), kept=_B)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
