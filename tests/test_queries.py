@@ -1,6 +1,6 @@
 import pytest
 
-from helpers import same_as_sql
+from helpers import ROOT, same_as_sql
 from weft import queries
 
 NAMES = [n for n in queries.oracle_sql() if n in queries.QUERIES and not n.startswith("stream_")]
@@ -23,8 +23,6 @@ def test_entry_imports_without_the_training_data_package(tmp_path):
     import subprocess
     import sys
 
-    from conftest import ROOT
-
     shutil.copytree(f"{ROOT}/weft", tmp_path / "weft", ignore=shutil.ignore_patterns("llm", "__pycache__"))
     shutil.copy(f"{ROOT}/__spark_entry__.py", tmp_path)
     said = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"], cwd=tmp_path, env={"PYTHONPATH": str(tmp_path), "PATH": "/usr/bin:/bin"}, capture_output=True, text=True)
