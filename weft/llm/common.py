@@ -11,6 +11,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+BROADCAST_IDS = 1_000_000  # rows of a few longs
+HOT_KEYS = 100_000
+HOT_ROWS = 256
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the data directory; only Spark's reader touches the path."""
@@ -54,13 +58,38 @@ def partitions_for(rows: int, per_partition: int, spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_partition))
 
 
+def by_class(rows: DataFrame, classes: DataFrame, keys: list[str], count: str) -> DataFrame:
+    """``rows`` left-joined with ``classes``, one row a key with the number of rows it has in ``count``.
+
+    Keys with more than one in HOT_KEYS of all rows (HOT_ROWS at least) are fewer than HOT_KEYS, whatever the input, so
+    they are broadcast; the rest is shuffled, and no key there gathers more than that share in a task.
+    """
+    total, most = classes.agg(F.sum(count), F.max(count)).first()
+    at = max(HOT_ROWS, (total or 0) // HOT_KEYS)
+    if (most or 0) <= at:
+        return rows.join(classes, keys, "left")
+    hot = classes.where(F.col(count) > at)
+    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(classes.where(F.col(count) <= at), keys, "left")
+    return rows.join(F.broadcast(hot), keys).unionByName(rest)
+
+
 def lowest_by_hash(rows: DataFrame, group: str, id_col: str, most: int, seed: int, salts: int = 64) -> DataFrame:
     """The ``most`` rows of each group with the lowest hashes of their ids.
 
-    Ranked within salts of a group first, so what meets in one task is bounded by salts * most rows, whatever the input.
+    Hashes are spread evenly, so rows above the place where a group's ``most``-th hash lies, and a wide margin, are cut
+    before the shuffle: a task ranks little more than ``most`` rows.  (A group whose hashes bunch up that unlikely gives
+    fewer rows.)  With more than HOT_KEYS groups they are ranked within salts of a group first instead.
     """
     keyed = rows.withColumn("__h", F.xxhash64(F.lit(seed), id_col))
-    for part in ((group, F.pmod(F.xxhash64("__h"), F.lit(salts))), (group,)):
+    sizes = rows.groupBy(F.col(group).alias("__g")).agg(F.count(F.lit(1)).alias("__size"))
+    parts = [(group,)]
+    if sizes.count() <= HOT_KEYS:
+        share = F.least(F.lit(1.0), F.lit(most + 8 * most**0.5 + 16) / F.col("__size"))
+        place = (F.col("__h") / F.lit(float(1 << 64))) + 0.5
+        keyed = keyed.join(F.broadcast(sizes), F.col(group).eqNullSafe(F.col("__g"))).where(place <= share).drop("__g", "__size")
+    else:
+        parts = [(group, F.pmod(F.xxhash64("__h"), F.lit(salts))), *parts]
+    for part in parts:
         order = Window.partitionBy(*part).orderBy("__h", id_col)
         keyed = keyed.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= most)
     return keyed.drop("__h", "__n")

@@ -6,12 +6,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import by_class, checkpointed
 
 
 def _least(edges: DataFrame) -> DataFrame:
-    """(u, m): every node with the least of itself and its neighbours, for edges listed both ways."""
-    return edges.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    """(u, m, n): every node with the least of itself and its neighbours and their number, for edges (u, v)."""
+    return edges.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("n"))
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -19,34 +19,29 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
     if large:
         both = both.unionByName(both.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        hung = both.join(_least(both), "u").where("v > u").select(F.greatest("v", "m").alias("a"), F.least("v", "m").alias("b"))
+        hung = by_class(both, _least(both), ["u"], "n").where("v > u").select(F.greatest("v", "m").alias("a"), F.least("v", "m").alias("b"))
     else:
         least = _least(both)  # edges run from the larger to the smaller end
-        hung = both.join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+        hung = by_class(both, least, ["u"], "n").select(F.col("v").alias("a"), F.col("m").alias("b"))
         hung = hung.unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
     return hung.where("a <> b").distinct()
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of edges (a, b); the component is its smallest node.
 
     Each round is a few aggregations and joins over the edges left, which never grow; a checkpoint in the shared folder
-    ends it.  A hub's edges are joined with its minimum, not collected.  No edges give an empty result.
+    ends it, and the rounds end when nothing changes.  Edges of hubs meet a broadcast minimum.  No edges give an empty
+    result.
     """
     now = checkpointed(
         edges.where("a <> b").select(F.greatest("a", "b").cast("long").alias("a"), F.least("a", "b").cast("long").alias("b")).distinct()
     )
-    mark = lambda e: e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % (1 << 40))).first()
-    before = mark(now)
-    for _ in range(max_rounds if before[0] else 0):
-        now = checkpointed(_star(_star(now, large=True), large=False))
-        after = mark(now)
-        if after == before:
-            break
-        before = after
-    else:
-        if before[0]:
-            raise RuntimeError("components did not settle")
+    mark = lambda e: e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % (1 << 40)), F.sum(F.xxhash64("b", "a") % (1 << 40))).first()
+    before, after = None, mark(now)
+    while after[0] and after != before:
+        now = checkpointed(_star(checkpointed(_star(now, large=True)), large=False))
+        before, after = after, mark(now)
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )
