@@ -11,20 +11,21 @@ bucket reports link counts and a spanning forest.  A first pass over the buckets
 which sets of a bucket have a likely partner whose bucket this is; only for these are the whole sets computed again and
 compared exactly.
 
-Documents of equal shingle sets are one class from the start.
+Documents of equal shingle sets are one class from the start, and so are those of equal texts without words.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from math import ceil, exp, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, partitions_for, trimmed
+from .common import BROADCAST_IDS, by_class, checkpointed, partitions_for, trimmed
 from .components import components, local_forest
 from .shingles import mix, shingle_sets
 
@@ -36,7 +37,6 @@ BLOCK = 512
 BINS = 64
 LIKELY = 0.55  # of a sketch's bins: five standard deviations below the threshold
 SLICE_BYTES = 1 << 19
-BROADCAST_IDS = 1_000_000
 TOKENS_AT_ONCE = 1 << 16
 
 
@@ -88,40 +88,51 @@ def sketch(tokens: np.ndarray) -> np.ndarray:
     return out
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[bytes]]]:
-    ids, texts, size = [], [], 0
+def _slices(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[tuple[list[tuple], list[bytes | None]]]:
+    """(key columns' values, texts) of slices of the rows."""
+    held, texts, size = [], [], 0
     for batch in batches:
-        for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
-            ids.append(doc_id)
-            texts.append(text.as_buffer().to_pybytes() if text.is_valid else b"")
-            size += len(texts[-1]) + 1
+        for *key, text in zip(*(batch[k].to_pylist() for k in keys), batch["text"], strict=True):
+            held.append(tuple(key))
+            texts.append(text.as_buffer().to_pybytes() if text.is_valid else None)
+            size += len(texts[-1] or b"") + 1
             if size > SLICE_BYTES:
-                yield ids, texts
-                ids, texts, size = [], [], 0
-    if ids:
-        yield ids, texts
+                yield held, texts
+                held, texts, size = [], [], 0
+    if held:
+        yield held, texts
+
+
+def _identity(tokens: np.ndarray, text: bytes | None) -> tuple[int | None, int | None]:
+    """128 bits that equal shingle sets share, or equal texts without words; null texts have none."""
+    if len(tokens):
+        h = mix(tokens).sum(dtype=np.uint64), np.bitwise_xor.reduce(mix(tokens * np.uint64(0x9E3779B97F4A7C15) + np.uint64(7)))
+        return int(h[0].astype(np.int64)), int(h[1].astype(np.int64))
+    if text is None:
+        return None, None
+    h = hashlib.blake2b(text, digest_size=16).digest()
+    return int.from_bytes(h[:8], "little", signed=True), int.from_bytes(h[8:], "little", signed=True)
 
 
 def _signatures(runs: int):
     seeds = mix(np.arange(1, runs + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in _slices(batches):
-            h1, h2, sizes, sketches, rows, counts = [], [], [], [], [np.empty((0, DEPTH), np.uint64)], [0]
-            for tokens in shingle_sets(texts):
+        for keys, texts in _slices(batches, ("doc_id", "th")):
+            identity, sizes, sketches, rows, counts = [], [], [], [np.empty((0, DEPTH), np.uint64)], [0]
+            for text, tokens in zip(texts, shingle_sets([t or b"" for t in texts]), strict=True):
+                identity.append(_identity(tokens, text))
                 sizes.append(len(tokens))
-                h1.append(int(mix(tokens).sum(dtype=np.uint64).astype(np.int64)))
-                h2.append(int(np.bitwise_xor.reduce(mix(tokens * np.uint64(0x9E3779B97F4A7C15) + np.uint64(7))).astype(np.int64)) if len(tokens) else 0)
                 sketches.append(sketch(tokens).tobytes())
                 rows.append(chains(tokens, seeds) if len(tokens) else rows[0])
                 counts.append(len(rows[-1]))
             flat = np.concatenate(rows).view(np.int64)
             struct = pa.StructArray.from_arrays([pa.array(flat[:, d].copy()) for d in range(DEPTH)], [f"p{d}" for d in range(DEPTH)])
+            first = [pa.array(c, pa.int64()) for c in (*zip(*keys, strict=True), *zip(*identity, strict=True), sizes)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(h1), pa.array(h2), pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary()),
-                 pa.ListArray.from_arrays(pa.array(np.cumsum(counts), pa.int32()), struct)],
-                ["doc_id", "h1", "h2", "size", "sketch", "chains"],
-            )
+                [*first, pa.array(sketches, pa.binary()), pa.ListArray.from_arrays(pa.array(np.cumsum(counts), pa.int32()), struct)],
+                ["doc_id", "th", "h1", "h2", "size", "sketch", "chains"],
+            )
 
     return run
 
@@ -284,56 +295,55 @@ def _tasks(members: DataFrame) -> DataFrame:
     return placed.select("path", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"), "block", "rep")
 
 
-def _rows_of(docs: DataFrame, ids: DataFrame, spark: SparkSession, how: str) -> DataFrame:
-    """docs semi- or anti-joined with distinct (rep): broadcast up to BROADCAST_IDS ids (8 MB), else shuffled."""
-    ids = ids.select(F.col("rep").alias("__rep"))
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    return docs.join(ids, docs["doc_id"] == ids["__rep"], how)
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, th, text): th tells rows of one id apart by their texts."""
+    text = F.col(text_col)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", recall: float = RECALL) -> DataFrame:
-    """One row a document: doc_id, class_id, n_links, group_id, kept.
+def _few(ids: DataFrame) -> DataFrame:
+    """ids, broadcast in joins up to BROADCAST_IDS rows of a few longs, else shuffled."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
-    ``class_id`` is the least id with the same shingles, ``n_links`` the number of other documents with a Jaccard
-    similarity of at least the threshold, ``group_id`` the least id reachable by links, ``kept`` whether it is its own.
-    Texts of fewer than five words have one shingle of them all.  Null texts and texts without words have no shingles
-    and no links.  Rows that repeat an id are linked copies, one class; rows without an id link with nothing and are
-    kept.  An empty table gives an empty result; other columns are not read.
+
+def grouped(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", recall: float = RECALL) -> DataFrame:
+    """One row a row of ``docs``: doc_id, th (a hash of the text), class_id, n_links, group_id and head.
+
+    ``head`` is the (doc_id, th) of the group's least row; null without a group.  See ``near_duplicates``.
     """
     spark = docs.sparkSession
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    texts = _texts(docs, id_col, text_col)
     paths = ", ".join(f"p{d}: bigint" for d in range(DEPTH))
-    schema = f"doc_id long, h1 long, h2 long, size long, sketch binary, chains array<struct<{paths}>>"
+    schema = f"doc_id long, th long, h1 long, h2 long, size long, sketch binary, chains array<struct<{paths}>>"
     signed = checkpointed(texts.mapInArrow(trimmed(_signatures(runs_for(recall))), schema))
-    live = signed.where("size > 0 AND doc_id IS NOT NULL")
+    # a class is named by a number of its own, as rows of one id may be in several; the checkpoint fixes the numbers
     classes = checkpointed(
-        live.groupBy("h1", "h2").agg(
-            F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n_docs"), F.first("size").alias("size"),
+        signed.where("h1 IS NOT NULL AND doc_id IS NOT NULL").groupBy("h1", "h2").agg(
+            F.min(F.struct("doc_id", "th")).alias("head"), F.count(F.lit(1)).alias("n_docs"), F.first("size").alias("size"),
             F.first("sketch").alias("sketch"), F.first("chains").alias("chains"),
-        )
+        ).withColumn("rep", F.monotonically_increasing_id())
     )
     members = checkpointed(_buckets(classes))
     paths_of = members.groupBy("rep").agg(F.sort_array(F.collect_set("path")).alias("paths"))
-    facts = classes.select("rep", "size", "n_docs", "sketch").join(paths_of, "rep").withColumn("n_paths", F.size("paths").cast("long"))
+    facts = classes.select("rep", "head", "size", "n_docs", "sketch").join(paths_of, "rep").withColumn("n_paths", F.size("paths").cast("long"))
     facts = checkpointed(facts)
     key = ["path", "bi", "bj"]
     n_tasks = partitions_for(members.count(), 20_000, spark)
-    first_pass = _tasks(members).join(facts.drop("n_docs"), "rep").select(*key, "rep", "block", "size", "sketch", "paths", "n_paths")
+    first_pass = _tasks(members).join(facts.drop("n_docs", "head"), "rep").select(*key, "rep", "block", "size", "sketch", "paths", "n_paths")
     dealt = first_pass.repartition(n_tasks, *key).sortWithinPartitions(*key, "rep")
     likely = checkpointed(dealt.mapInArrow(trimmed(_likely), "path long, bi long, bj long, rep long, block long"))
 
-    needed = checkpointed(likely.select("rep").distinct())
+    needed = checkpointed(likely.select("rep").distinct().join(facts.select("rep", "head.*"), "rep"))
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, part in _slices(batches):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array([t.astype("<u8").tobytes() for t in shingle_sets(part)], pa.binary())], ["rep", "tokens"]
-            )
+        for keys, part in _slices(batches, ("rep",)):
+            sets = shingle_sets([t or b"" for t in part])
+            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.int64()), pa.array([t.astype("<u8").tobytes() for t in sets], pa.binary())], ["rep", "tokens"])
 
-    sets = _rows_of(texts, needed, spark, "left_semi").mapInArrow(trimmed(whole), "rep long, tokens binary")
+    # rows that repeat id and text have the same tokens
+    sets = texts.join(_few(needed), ["doc_id", "th"]).select("rep", "text").mapInArrow(trimmed(whole), "rep long, tokens binary").dropDuplicates(["rep"])
     second_pass = (
-        likely.join(facts.select("rep", "n_docs", "paths"), "rep").join(sets.dropDuplicates(["rep"]), "rep")
+        likely.join(facts.select("rep", "n_docs", "paths"), "rep").join(sets, "rep")
         .select(*key, "rep", "block", "n_docs", "paths", "tokens")
     )
     n_tasks = partitions_for(likely.count(), 4_000, spark)
@@ -342,22 +352,51 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     counts = found.where("a = b").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     group = components(found.where("a <> b").select("a", "b")).withColumnRenamed("node", "rep")
-    of_class = classes.select("h1", "h2", "rep", "n_docs").join(counts, "rep", "left").join(group, "rep", "left")
-    of_class = of_class.select(
-        F.col("h1").alias("k1"), F.col("h2").alias("k2"), "rep", "n_docs",
-        F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "rep").alias("component"),
-    )
-    keyed = signed.select("doc_id", "size", "h1", "h2")
-    joined = keyed.join(of_class, (F.col("size") > 0) & F.col("doc_id").isNotNull() & (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")), "left")
-    own = F.coalesce("component", "doc_id")
-    return joined.select(
-        "doc_id", F.coalesce("rep", "doc_id").alias("class_id"),
+    group = checkpointed(group.join(classes.select("rep", "head"), "rep"))
+    heads = group.groupBy("component").agg(F.min("head").alias("group_head"), F.count(F.lit(1)).alias("n"))
+    group = by_class(group.select("rep", "component"), heads, ["component"], "n").select("rep", "group_head")
+    of_class = classes.select("h1", "h2", "rep", "n_docs", "head").join(counts, "rep", "left").join(group, "rep", "left")
+    of_class = checkpointed(of_class.select(
+        "h1", "h2", "n_docs", F.coalesce("links", F.lit(0)).alias("links"), F.col("head.doc_id").alias("class_id"), F.coalesce("group_head", "head").alias("head"),
+    ))
+    keyed = signed.select("doc_id", "th", F.when(F.col("doc_id").isNotNull(), F.col("h1")).alias("h1"), "h2")
+    return by_class(keyed, of_class, ["h1", "h2"], "n_docs").select(
+        "doc_id", "th", F.coalesce("class_id", "doc_id").alias("class_id"),
         F.coalesce(F.col("links") + F.col("n_docs") - 1, F.lit(0)).cast("long").alias("n_links"),
-        own.alias("group_id"), F.col("doc_id").eqNullSafe(own).alias("kept"),
+        F.coalesce(F.col("head.doc_id"), "doc_id").alias("group_id"), "head",
     )
 
 
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", recall: float = RECALL) -> DataFrame:
+    """One row a row of ``docs``: doc_id, class_id, n_links, group_id, kept.
+
+    ``class_id`` is the least id with the same shingles, ``n_links`` the number of other rows with a Jaccard similarity
+    of at least the threshold, ``group_id`` the least id reachable by links, ``kept`` whether it is its own.  Texts of
+    fewer than five words have one shingle of them all.  Equal texts without words are linked copies; null texts have no
+    links.  Rows that repeat an id are rows of their own: linked if their texts are near.  Rows without an id link with
+    nothing and are kept.  An empty table gives an empty result; other columns are not read.
+    """
+    rows = grouped(docs, id_col=id_col, text_col=text_col, recall=recall)
+    return rows.select("doc_id", "class_id", "n_links", "group_id", F.col("doc_id").eqNullSafe(F.col("group_id")).alias("kept"))
+
+
 def one_of_each_group(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each group of near-duplicates, all columns kept; rows of one id go together."""
-    gone = checkpointed(near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("rep")).distinct())
-    return _rows_of(docs, gone, docs.sparkSession, "left_anti").select(*docs.columns)
+    """``docs`` with one row of each group of near-duplicates, all columns kept.
+
+    That is the row of the least id, of several texts of that id the one of the least hash, of rows that repeat both
+    one by the other columns.  Null texts and rows without an id all stay; an empty table gives an empty result.
+    """
+    rows = grouped(docs)
+    own = F.struct("doc_id", "th")
+    fate = checkpointed(rows.where("head IS NOT NULL").groupBy("doc_id", "th").agg(F.count(F.lit(1)).alias("n"), F.first("head").alias("head")).where((F.col("head") != own) | (F.col("n") > 1)))
+    fate = fate.select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), (F.col("head") != own).alias("__gone"))
+    marked = docs.withColumn("__row", F.struct(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("th")))
+    same = (F.col("__row.id") == F.col("__id")) & (F.col("__row.th") == F.col("__th"))
+    kept = marked.join(_few(fate), same, "left_anti").select(*docs.columns)
+    repeated = fate.where("NOT __gone")
+    if not repeated.take(1):
+        return kept
+    others = F.to_json(F.struct(*[F.col(c) for c in docs.columns if c not in ("doc_id", "text")])) if len(docs.columns) > 2 else F.lit("")
+    again = marked.join(_few(repeated), same, "left_semi").withColumn("__others", others)
+    again = again.withColumn("__n", F.row_number().over(Window.partitionBy("__row.id", "__row.th").orderBy("__others"))).where("__n = 1")
+    return kept.unionByName(again.select(*docs.columns))
