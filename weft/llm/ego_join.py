@@ -18,12 +18,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, partitions_for
+from .common import by_class, checkpointed, partitions_for
 from .components import components, local_forest
 
 THRESHOLD = 0.93
 AXES = 6
-PCA_SAMPLE = 4096  # vectors, the lowest by a hash of their id
+PCA_SAMPLE = 4096  # vectors, the lowest by a hash of their least id
 BLOCK = 1024
 LEAF = 128
 
@@ -41,7 +41,7 @@ def unit_rows(raw: np.ndarray) -> np.ndarray:
 
 def principal_axes(classes: DataFrame) -> dict[int, np.ndarray]:
     """Leading principal axes for each dimension of vectors, from a bounded sample; they only steer the order."""
-    rows = classes.orderBy(F.xxhash64(F.lit(9), "rep"), "rep").limit(PCA_SAMPLE).select("vector").collect()
+    rows = classes.orderBy(F.xxhash64(F.lit(9), "least"), "least", "h1").limit(PCA_SAMPLE).select("vector").collect()
     by_dim: dict[int, list] = {}
     for r in rows:
         by_dim.setdefault(len(r.vector), []).append(r.vector)
@@ -102,8 +102,9 @@ def link_vectors(
 
     Links join vectors of equal, non-null label and equal dimension with a cosine of at least the threshold, in double
     precision.  Vectors that are null, zero or hold null or non-finite components, and rows without a label, have no
-    links and are components of their own.  Rows that repeat a vector are linked with each other.  A null id takes no
-    part, and is kept.  An empty table gives an empty result; other columns are not read.
+    links and are components of their own.  Rows that repeat a vector are linked with each other.  Rows that repeat an
+    id with other vectors or labels are vectors of their own.  A null id takes no part, and is kept.  An empty table
+    gives an empty result; other columns are not read.
     """
     spark = rows.sparkSession
     v = rows.select(
@@ -114,8 +115,10 @@ def link_vectors(
     keyed = keyed.withColumn("active", active)
     classes = checkpointed(
         keyed.where("active").groupBy("label", "h1", "h2")
-        .agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("size"), F.first("vector").alias("vector"))
+        .agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("size"), F.first("vector").alias("vector"))
+        .withColumn("rep", F.monotonically_increasing_id())
     )
+    # a class is named by a number of its own, as rows of one id may be in several; the checkpoint fixes the numbers
     axes = principal_axes(classes)
     eps = float(np.sqrt(max(0.0, 2 - 2 * threshold))) * (1 + 1e-9) + 1e-12
     cell_names = [f"c{k}" for k in range(AXES)]
@@ -172,7 +175,7 @@ def link_vectors(
         if held:
             yield packed()
 
-    # a block is named by its first class
+    # a block is named by its first class, which no other block holds
     blocks = checkpointed(
         ordered.mapInArrow(
             pack, f"label {label_type}, dim long, block long, n long, reps binary, sizes binary, cells binary, units binary, lo array<long>, hi array<long>"
@@ -208,14 +211,14 @@ def link_vectors(
 
     found = checkpointed(tasks.mapInArrow(compare, "a long, b long, links long"))
     counts = found.where("a = b").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
-    component = components(found.where("a <> b").select("a", "b")).withColumnRenamed("node", "rep")
-    of_class = classes.select("label", "h1", "h2", "rep", "size").join(counts, "rep", "left").join(component, "rep", "left")
-    of_class = of_class.select(
-        F.col("label").alias("k"), F.col("h1").alias("k1"), F.col("h2").alias("k2"), "size",
-        F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "rep").alias("component"),
-    )
-    joined = keyed.drop("vector").join(of_class, (F.col("label") == F.col("k")) & (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")), "left")
-    own = F.coalesce("component", "vec_id")
+    group = components(found.where("a <> b").select("a", "b")).withColumnRenamed("node", "rep")
+    group = checkpointed(group.join(classes.select("rep", "least"), "rep"))
+    heads = group.groupBy("component").agg(F.min("least").alias("head"), F.count(F.lit(1)).alias("n"))
+    group = by_class(group.select("rep", "component"), heads, ["component"], "n").select("rep", "head")
+    of_class = classes.select("label", "h1", "h2", "rep", "size", "least").join(counts, "rep", "left").join(group, "rep", "left")
+    of_class = checkpointed(of_class.select("label", "h1", "h2", "size", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("head", "least").alias("head")))
+    joined = by_class(keyed.select("vec_id", "label", "h1", "h2"), of_class, ["label", "h1", "h2"], "size")
+    own = F.coalesce("head", "vec_id")
     return joined.select(
         "vec_id", F.coalesce(F.col("links") + F.col("size") - 1, F.lit(0)).cast("long").alias("n_links"),
         own.alias("component_id"), F.col("vec_id").eqNullSafe(own).alias("kept"),
