@@ -7,6 +7,10 @@ is reranked by the exact cosine of the original vectors, in double precision.
 
 Shards hold a bounded number of vectors and meet bounded blocks of queries; their best are merged.  Equal vectors are
 indexed once, with as many of their smallest ids as any answer can use.
+
+Every query meets every shard: on vectors without clusters a query's nearest lie in most of the inverted files, so
+leaving files out costs recall before it saves much (README has figures).  Large shards and query blocks keep down how
+often a vector or a query is sent.
 """
 
 from __future__ import annotations
@@ -23,10 +27,9 @@ from .ego_join import unit_rows, usable
 
 PIVOTS = 256  # the vectors with the lowest hashes of their ids
 LISTED = 96  # nearest pivots a vector is posted under
-SHARD = 8192
-QUERY_BLOCK = 2048
-SHARE = 0.12  # of a shard, reranked after the footrule ranking; LEAST at least
-LEAST = 200
+SHARD = 32_768
+QUERY_BLOCK = 16_384
+SHARE, MORE = 0.06, 100  # of a shard and besides, reranked after the footrule ranking
 
 
 def nearest_pivots(units: np.ndarray, pivots: np.ndarray) -> np.ndarray:
@@ -47,12 +50,10 @@ class Shard:
         self.files = [(who[s:e], rank[s:e]) for s, e in zip(ends[:-1], ends[1:], strict=True)]
         self.listed = lists.shape[1]
 
-    def candidates(self, listed: np.ndarray) -> np.ndarray:
-        """The share of the shard nearest by footrule to a query's list of pivots."""
+    def candidates(self, listed: np.ndarray, least: int) -> np.ndarray:
+        """The share of the shard, and MORE, nearest by footrule to a query's list of pivots; ``least`` at least."""
         n = len(self.units)
-        keep = min(n, max(LEAST, int(np.ceil(SHARE * n))))
-        if keep == n:
-            return np.arange(n)
+        keep = min(n, max(least, MORE + int(np.ceil(SHARE * n))))
         # of a shared pivot: |rank - rank'| instead of the two distances to the end of the lists
         saved = np.zeros(n, np.int32)
         for rank, pivot in enumerate(listed):
@@ -61,6 +62,18 @@ class Shard:
         return np.argpartition(-saved, keep - 1)[:keep]
 
 
+def hashes() -> list[Column]:
+    """128 bits that tell vectors apart."""
+    return [F.xxhash64("vector").alias("h1"), F.xxhash64(F.lit(9), "vector").alias("h2")]
+
+
+def matrix(vectors: pa.ChunkedArray) -> np.ndarray:
+    """Vectors of one dimension as rows."""
+    whole = vectors.combine_chunks()
+    whole = pa.concat_arrays(whole.chunks) if isinstance(whole, pa.ChunkedArray) else whole
+    return np.asarray(whole.flatten().to_numpy(zero_copy_only=False), float).reshape(len(whole), -1)
+
+
 def class_ids(rows: DataFrame, most: int, id_col: str, vector_col: str) -> DataFrame:
     """(h1, h2, ids, vector): each distinct usable vector once, with its ``most`` smallest ids.
 
@@ -69,7 +82,7 @@ def class_ids(rows: DataFrame, most: int, id_col: str, vector_col: str) -> DataF
     """
     v = rows.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"))
     v = v.where(usable(F.col("vector")) & F.col("vec_id").isNotNull())
-    v = v.withColumn("h1", F.xxhash64("vector")).withColumn("h2", F.xxhash64(F.lit(9), "vector"))
+    v = v.select("*", *hashes())
     by_id = Window.partitionBy("h1", "h2").orderBy("vec_id")
     few = v.withColumn("n", F.row_number().over(by_id)).where(F.col("n") <= most)
     return few.groupBy("h1", "h2").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"), F.first("vector").alias("vector"))
@@ -82,11 +95,14 @@ def search(
 
     ``is_query`` is a condition on ``vec_id``.  Ties go to the smaller vec_id; with fewer candidates all are returned.
     Vectors that are null, zero or hold null or non-finite components, and rows without id, take no part; vectors of
-    another dimension than the query's are no candidates.  Equal rows are candidates each.  No rows give no rows.
+    another dimension than the query's are no candidates.  Rows that repeat a vector are candidates each, but for the
+    query's own row.  Rows that repeat an id with other vectors are queries of their own, with an answer each; rows that
+    repeat both are one query.  No rows give no rows; other columns are not read.
     """
     spark = rows.sparkSession
     v = rows.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"))
     queries = v.where(is_query & usable(F.col("vector")) & F.col("vec_id").isNotNull())
+    queries = queries.select("vec_id", *hashes(), "vector").dropDuplicates(["vec_id", "h1", "h2"])
     classes = checkpointed(class_ids(rows, k + 1, id_col, vector_col).withColumn("dim", F.size("vector")))
     sizes = {r.dim: r["count"] for r in classes.groupBy("dim").count().collect()}  # one row a dimension
     n_queries = queries.count()
@@ -101,32 +117,40 @@ def search(
     posted = (
         classes.withColumn("shard", deal(count, 3, F.col("h1")))
         .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-        .select("dim", "shard", "block", "ids", "vector")
+        .select("dim", "shard", "block", "h1", "h2", "ids", "vector")
     )
     asked = (
         queries.withColumn("dim", F.size("vector")).withColumn("block", deal(F.lit(blocks), 4, F.col("vec_id")))
         .withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), (count - 1).cast("long"))))
-        .select("dim", "shard", "block", "vec_id", "vector")
+        .select("dim", "shard", "block", "h1", "h2", "vec_id", "vector")
     )
 
     def cell(left: pa.Table, right: pa.Table) -> pa.Table:
         out: list = []
         if left.num_rows and right.num_rows:
-            units = unit_rows(np.array(left["vector"].to_pylist(), float))
+            units = unit_rows(matrix(left["vector"]))
             ids = left["ids"].to_pylist()
-            asked_units = unit_rows(np.array(right["vector"].to_pylist(), float))
+            keys = list(zip(left["h1"].to_pylist(), left["h2"].to_pylist(), strict=True))
+            asked_units = unit_rows(matrix(right["vector"]))
             index = Shard(units, pivots[units.shape[1]])
             lists = nearest_pivots(asked_units, index.pivots)
-            for q, (query_id, u) in enumerate(zip(right["vec_id"].to_pylist(), asked_units, strict=True)):
-                near = index.candidates(lists[q])
-                score = units[near] @ u
-                # k + 1 classes hold the answer, as each has an id other than the query's but perhaps one; ties are kept
+            for q, (query_id, *key) in enumerate(zip(*(right[c].to_pylist() for c in ("vec_id", "h1", "h2")), strict=True)):
+                near = index.candidates(lists[q], k + 1)
+                score = units[near] @ asked_units[q]
+                # k + 1 classes hold the answer, as each has a row other than the query's but perhaps one; ties are kept
                 cut = np.partition(score, max(0, len(score) - k - 1))[max(0, len(score) - k - 1)]
-                best = [(-s, i) for c, s in zip(near[score >= cut], score[score >= cut], strict=True) for i in ids[c] if i != query_id]
-                out += [(query_id, i, -s) for s, i in sorted(best)[:k]]
-        columns = list(zip(*out, strict=True)) or [[], [], []]
-        return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()), strict=True)], ["query_id", "vec_id", "score"])
-
-    found = posted.groupBy("dim", "shard", "block").cogroup(asked.groupBy("dim", "shard", "block")).applyInArrow(cell, "query_id long, vec_id long, score double")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+                best = []
+                for c, s in zip(near[score >= cut], score[score >= cut], strict=True):
+                    others = list(ids[c])
+                    if keys[c] == tuple(key) and query_id in others:
+                        others.remove(query_id)  # the query's own row
+                    best += [(-s, i) for i in others]
+                out += [(query_id, *key, i, -s) for s, i in sorted(best)[:k]]
+        columns = list(zip(*out, strict=True)) or [[]] * 5
+        types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64())
+        return pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["query_id", "h1", "h2", "vec_id", "score"])
+
+    cell_key = ("dim", "shard", "block")
+    found = posted.groupBy(*cell_key).cogroup(asked.groupBy(*cell_key)).applyInArrow(cell, "query_id long, h1 long, h2 long, vec_id long, score double")
+    best = Window.partitionBy("query_id", "h1", "h2").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
