@@ -9,6 +9,7 @@ language at a time from the best single one.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -16,11 +17,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lowest_by_hash, train_row
+from .common import BROADCAST_IDS, checkpointed, lowest_by_hash, train_row, trimmed
 
 BITS = 16
 SAMPLE_DOCS = 400  # labelled documents a language, the lowest by a hash of their id
-MAX_LANGS = 400  # languages kept, the most frequent first
 SMOOTHING = 0.05
 STEPS = 12
 PENALTY = 0.5  # times log(trigrams), for each language beyond the first
@@ -62,10 +62,41 @@ def _mixture(p: np.ndarray, w: np.ndarray, steps: int = STEPS) -> tuple[np.ndarr
     return share, float(w @ np.log(p @ share))
 
 
-def infer(p: np.ndarray, grams: np.ndarray) -> tuple[list[int], np.ndarray]:
-    """Languages and their proportions, largest first, for a document's trigrams under p (trigram x language)."""
+@dataclass
+class Model:
+    """Trigram probabilities of the learned languages: ``floor`` for each but those listed, trigram after trigram."""
+
+    langs: list[str]
+    floor: np.ndarray  # a language's probability of a trigram that its sample lacks
+    first: np.ndarray  # where a trigram's entries start; one more than there are trigrams
+    lang: np.ndarray  # entries: the language
+    p: np.ndarray  # and its probability
+
+    def rows(self, grams: np.ndarray) -> np.ndarray:
+        """Probabilities of distinct trigrams, trigram x language."""
+        start, n = self.first[grams], self.first[grams + 1] - self.first[grams]
+        entry = np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        out = np.tile(self.floor, (len(grams), 1))
+        out[np.repeat(np.arange(len(grams)), n), self.lang[entry]] = self.p[entry]
+        return out
+
+
+def model_of(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
+    """The model of languages given by (distinct trigrams, their counts), smoothed."""
+    langs = sorted(counts)
+    size = 1 << BITS
+    total = np.array([counts[k][1].sum() + SMOOTHING * size for k in langs])
+    gram = np.concatenate([np.empty(0, np.int64), *[counts[k][0].astype(np.int64) for k in langs]])
+    lang = np.repeat(np.arange(len(langs), dtype=np.int32), [len(counts[k][0]) for k in langs])
+    p = np.concatenate([np.empty(0), *[(counts[k][1] + SMOOTHING) / t for k, t in zip(langs, total, strict=True)]])
+    order = np.argsort(gram, kind="stable")
+    return Model(langs, SMOOTHING / total, np.searchsorted(gram[order], np.arange(size + 1)), lang[order], p[order])
+
+
+def infer(model: Model, grams: np.ndarray) -> tuple[list[int], np.ndarray]:
+    """Languages and their proportions, largest first, for a document's trigrams."""
     grams, w = np.unique(grams, return_counts=True)
-    w, own = w.astype(float), p[grams]
+    w, own = w.astype(float), model.rows(grams)
     chosen = [int(np.argmax(w @ np.log(own)))]
     share, best = np.ones(1), float(w @ np.log(own[:, chosen[0]]))
     everyone, _ = _mixture(own, w)
@@ -81,80 +112,79 @@ def infer(p: np.ndarray, grams: np.ndarray) -> tuple[list[int], np.ndarray]:
     return [chosen[i] for i in order], share[order]
 
 
-def learn(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
-    """Languages and trigram probabilities from at most SAMPLE_DOCS rows a language with a text and a language.
+def learn(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
+    """A model of every language, from at most SAMPLE_DOCS rows a language with a text and a language.
 
     The sample is the lowest rows by a hash of the id: first the ids alone are ranked, then only the chosen texts are
-    read on.  What reaches the driver is one vector of 2^BITS counts a language, of at most MAX_LANGS languages.
+    read on.  What reaches the driver is the distinct trigrams of a language's sample with their counts, 2^BITS at most.
     """
     rows = labelled.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("id").isNotNull())
-    chosen = lowest_by_hash(rows.select("id", "lang"), "lang", "id", SAMPLE_DOCS, 6).distinct()
-    frequent = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).select("lang")
-    # at most SAMPLE_DOCS * MAX_LANGS ids, so both may be broadcast
-    sample = rows.join(F.broadcast(chosen.join(F.broadcast(frequent), "lang", "left_semi")), ["id", "lang"], "left_semi")
+    chosen = checkpointed(lowest_by_hash(rows.select("id", "lang"), "lang", "id", SAMPLE_DOCS, 6).distinct())
+    few = F.broadcast(chosen) if chosen.count() <= BROADCAST_IDS else chosen
+    sample = rows.join(few, ["id", "lang"], "left_semi")
     sample = lowest_by_hash(sample, "lang", "id", SAMPLE_DOCS, 6)  # again, as rows may repeat an id
 
     def count(t: pa.Table) -> pa.Table:
         total = np.zeros(1 << BITS, np.int64)
         for text in t["text"]:
             total += np.bincount(trigrams(text.as_py()), minlength=1 << BITS)
-        return pa.table({"lang": t["lang"].slice(0, 1), "counts": pa.array([total.astype("<i8").tobytes()], pa.binary())})
+        seen = np.flatnonzero(total)
+        blobs = [pa.array([x.tobytes()], pa.binary()) for x in (seen.astype("<i4"), total[seen].astype("<i8"))]
+        return pa.table([t["lang"].slice(0, 1), *blobs], ["lang", "grams", "counts"])
 
-    parts = sample.groupBy("lang").applyInArrow(count, "lang string, counts binary").collect()
-    parts = sorted((r.lang, np.frombuffer(r.counts, "<i8")) for r in parts)
-    counts = np.array([c for _, c in parts], float).reshape(len(parts), 1 << BITS) + SMOOTHING
-    return [k for k, _ in parts], (counts / counts.sum(1, keepdims=True)).T.copy()
+    parts = sample.groupBy("lang").applyInArrow(count, "lang string, grams binary, counts binary").collect()
+    return model_of({r.lang: (np.frombuffer(r.grams, "<i4"), np.frombuffer(r.counts, "<i8")) for r in parts})
 
 
-def judge(langs: list[str], p: np.ndarray, text: str | None) -> tuple[str, float, list[str], list[float]]:
+def judge(model: Model, text: str | None) -> tuple[str, float, list[str], list[float]]:
     """(lang_pred, score, langs, shares) of a text; ``und``, 0, and empty lists if no language can be told."""
-    grams = trigrams(text or "") if langs else ()
+    grams = trigrams(text or "") if model.langs else ()
     if not len(grams):
         return "und", 0.0, [], []
-    which, share = infer(p, grams)
-    return langs[which[0]], min(1.0, float(share[0])), [langs[k] for k in which], share.tolist()
+    which, share = infer(model, grams)
+    return model.langs[which[0]], min(1.0, float(share[0])), [model.langs[k] for k in which], share.tolist()
 
 
-def predict(docs: DataFrame, langs: list[str], p: np.ndarray, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score, langs, shares) of every row from its whole text alone.
 
     ``score`` is the share of the predicted language.  Null texts, texts without a letter, and all texts if nothing was
-    learned get ``und``, 0, and empty lists.  Ties go to the language first in order; repeated rows are judged each.
+    learned get ``und``, 0, and empty lists.  Ties go to the language first in order; repeated rows are judged each; an
+    empty table gives an empty result; other columns are not read.
     """
-    model = docs.sparkSession.sparkContext.broadcast((langs, p))  # 2^BITS doubles a language, at most MAX_LANGS
+    shipped = docs.sparkSession.sparkContext.broadcast(model)  # 12 bytes a distinct trigram of a language's sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, probs = model.value
+        model = shipped.value
         for batch in batches:
             out = []
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
-                out.append((doc_id, *judge(names, probs, text.as_py())))
+                out.append((doc_id, *judge(model, text.as_py())))
             if out:
                 types = [pa.int64(), pa.string(), pa.float64(), pa.list_(pa.string()), pa.list_(pa.float64())]
                 columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang_pred", "score", "langs", "shares"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, SCHEMA)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(trimmed(run), SCHEMA)
 
 
 def identify(docs: DataFrame) -> DataFrame:
     """Learn from the training rows of ``docs`` and predict all of its rows."""
-    langs, p = learn(docs.where(train_row(F.col("doc_id"))))
-    return predict(docs, langs, p)
+    return predict(docs, learn(docs.where(train_row(F.col("doc_id")))))
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` for which ``identify`` tells a language, mixtures whatever their shares, all columns kept.
 
-    The decision is made where the row is: whole texts don't go through a shuffle for it.
+    The decision is made where the row is: whole texts don't go through a shuffle for it.  Without a language learned
+    no row stays; an empty table gives an empty result; extra columns pass as they are, whatever their names.
     """
-    langs, p = learn(docs.where(train_row(F.col("doc_id"))))
-    model = docs.sparkSession.sparkContext.broadcast((langs, p))
+    shipped = docs.sparkSession.sparkContext.broadcast(learn(docs.where(train_row(F.col("doc_id")))))
 
     @F.pandas_udf("boolean")
     def known(texts):
-        names, probs = model.value
-        return texts.map(lambda text: judge(names, probs, text)[0] != "und").astype(bool)
+        model = shipped.value
+        return texts.map(lambda text: judge(model, text)[0] != "und").astype(bool)
 
     return docs.where(known(F.col("text")))
