@@ -1,7 +1,8 @@
 """Line dedup by site-relative frequency.
 
 Within a host, a line's ratio is the number of the host's pages that contain it over the number of the host's pages.
-Lines above the ratio on enough pages are boilerplate, and every occurrence on that host is dropped.
+Lines above the ratio are boilerplate, and every occurrence on that host is dropped; a line of a single page is not,
+however few pages the host has, as nothing repeats it.
 
 Only DataFrame functions.  Lines travel as two 64-bit hashes, counted per host with partial aggregation before the
 shuffle; line texts never leave their row.
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from .common import checkpointed
 
 RATIO = 0.1
-MIN_PAGES = 4
+MIN_PAGES = 2
 BROADCAST_LINES = 200_000  # 16 bytes each
 
 
@@ -43,14 +44,8 @@ def boilerplate_lines(docs: DataFrame, *, text_col: str = "text", host_col: str
     )
 
 
-def dedup_lines(docs: DataFrame, *, text_col: str = "text", host_col: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
-    """``docs`` with its lines of boilerplate dropped, plus n_lines and n_dropped; the other columns as they were.
-
-    Rows stay, with an empty text if every line went; null texts stay null with 0 lines; empty texts have one empty
-    line.  Rows that repeat are pages each.  The boilerplate of a host is one row with two arrays of hashes: a host has
-    fewer than (lines of a page) / ratio such lines, whatever its size.  Those rows are broadcast if there are at most
-    BROADCAST_LINES hashes; beyond, the documents meet them by host and salt, so that no host is one task.
-    """
+def _cut(docs: DataFrame, text_col: str, host_col: str, ratio: float, min_pages: int) -> tuple[DataFrame, list[Column], Column, Column]:
+    """(joined rows, the columns of docs with the cut text, number of lines, number of dropped lines)."""
     found = checkpointed(boilerplate_lines(docs, text_col=text_col, host_col=host_col, ratio=ratio, min_pages=min_pages))
     sets = found.groupBy(F.col("host").alias("__host")).agg(
         F.sort_array(F.collect_list("h1")).alias("__d1"), F.sort_array(F.collect_list("h2")).alias("__d2")
@@ -69,14 +64,28 @@ def dedup_lines(docs: DataFrame, *, text_col: str = "text", host_col: str = "sou
         h1, h2 = _hash(F.trim(line))
         return ~(F.array_contains("__d1", h1) & F.array_contains("__d2", h2))
 
-    n_lines = F.coalesce(F.size(F.when(F.col(text_col).isNotNull(), lines)), F.lit(0))
     left = F.when(F.col("__d1").isNotNull() & F.col(text_col).isNotNull(), F.filter(lines, kept))
-    others = [F.col(c) for c in docs.columns]
-    return (
-        joined.withColumn("__left", left)
-        .select(
-            *[F.coalesce(F.array_join("__left", "\n"), c).alias(text_col) if n == text_col else c for n, c in zip(docs.columns, others, strict=True)],
-            F.when(F.col(text_col).isNull(), 0).otherwise(n_lines).alias("n_lines"),
-            F.when(F.col("__left").isNull(), 0).otherwise(n_lines - F.size("__left")).alias("n_dropped"),
-        )
-    )
+    joined = joined.withColumn("__left", left)
+    columns = [F.coalesce(F.array_join("__left", "\n"), F.col(c)).alias(c) if c == text_col else F.col(c) for c in docs.columns]
+    n_lines = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(lines))
+    return joined, columns, n_lines, F.when(F.col("__left").isNull(), 0).otherwise(n_lines - F.size("__left"))
+
+
+def dedup_lines(docs: DataFrame, *, text_col: str = "text", host_col: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+    """``docs`` with its lines of boilerplate dropped, plus n_lines and n_dropped; the other columns as they were.
+
+    Rows stay, with an empty text if every line went; null texts stay null with 0 lines; empty texts have one empty
+    line.  Rows that repeat are pages each.  An empty table gives an empty result.  Columns n_lines and n_dropped that
+    ``docs`` has give way to the counts.  The boilerplate of a host is one row with two arrays of hashes: a host has
+    fewer than (lines of a page) / ratio such lines, whatever its size.  Those rows are broadcast if there are at most
+    BROADCAST_LINES hashes; beyond, the documents meet them by host and salt, so that no host is one task.
+    """
+    joined, columns, n_lines, n_dropped = _cut(docs, text_col, host_col, ratio, min_pages)
+    own = [c for c, name in zip(columns, docs.columns, strict=True) if name not in ("n_lines", "n_dropped")]
+    return joined.select(*own, n_lines.alias("n_lines"), n_dropped.alias("n_dropped"))
+
+
+def without_boilerplate(docs: DataFrame, *, text_col: str = "text", host_col: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+    """``docs`` with its lines of boilerplate dropped and no other change; see ``dedup_lines``."""
+    joined, columns, _, _ = _cut(docs, text_col, host_col, ratio, min_pages)
+    return joined.select(*columns)
