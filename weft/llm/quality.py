@@ -16,12 +16,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import held_out_row, lowest_by_hash, train_row
 
 SAMPLE_DOCS = 1500  # training documents a label, the lowest by a hash of their id
+SAMPLE_LINES = 200_000  # and their lines together: documents that would exceed them are passed over
 BINS = 8
 FEATURES = 13
 ROUNDS = 250
@@ -207,9 +208,10 @@ def score_texts(m: Model, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, n
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
-    """A model from at most SAMPLE_DOCS training rows a label; None unless both labels are there.
+    """A model from at most SAMPLE_DOCS training rows and SAMPLE_LINES lines a label; None unless both labels are there.
 
-    Ids whose label rows disagree are not learned from.  What reaches the driver is the line features of the sample.
+    Ids whose label rows disagree are not learned from.  What reaches the driver is the line features of the sample, 60
+    bytes a line.
     """
     label = (
         labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & train_row(F.col("doc_id")))
@@ -219,6 +221,9 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
     chosen = lowest_by_hash(label.join(ids, "doc_id", "left_semi").select("doc_id", "y"), "y", "doc_id", SAMPLE_DOCS, 7)
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id", "y")), "doc_id")  # 2 * SAMPLE_DOCS ids
     sample = lowest_by_hash(sample, "y", "doc_id", SAMPLE_DOCS, 7)  # again, as rows may repeat an id
+    lines = F.regexp_count(F.coalesce("text", F.lit("")), F.lit("\n")) + 1
+    upto = F.sum(lines).over(Window.partitionBy("y").orderBy(F.xxhash64(F.lit(7), "doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0))
+    sample = sample.where(lines <= SAMPLE_LINES).withColumn("upto", upto).where(F.col("upto") <= SAMPLE_LINES)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
