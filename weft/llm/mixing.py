@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import BROADCAST_IDS, checkpointed
 
 WEIGHTS = (3.0, 1.0, 2.0)
 WORD = r"[^\x20\x09-\x0D]+"
@@ -153,13 +153,18 @@ def mixed_documents(docs: DataFrame, **kw) -> DataFrame:
     Documents are told apart by (doc_id, text); rows that agree in both get the same treatment on average.
     """
     seed, id_col, text_col = kw.get("seed", 17), kw.get("id_col", "doc_id"), kw.get("text_col", "text")
-    decided = mix(docs, **kw).select(F.col("h").alias("__mix_h"), F.col("copies").alias("__copies"))
-    # rows that repeat id and text are numbered, and the n-th gets the n-th decision
+    decided = checkpointed(mix(docs, **kw).select(F.col("h").alias("__mix_h"), F.col("copies").alias("__copies")))
     of_row = docs.withColumn("__h", F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)))
-    of_row = of_row.withColumn("__n", F.row_number().over(Window.partitionBy("__h").orderBy("__h")))
-    decided = decided.withColumn("__m", F.row_number().over(Window.partitionBy("__mix_h").orderBy(F.desc("__copies"))))
-    return (
-        of_row.join(decided.where("__copies > 0"), (F.col("__h") == F.col("__mix_h")) & (F.col("__n") == F.col("__m")))
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-        .select(*docs.columns)
-    )
+    repeated = checkpointed(decided.groupBy("__mix_h").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("__mix_h"))
+    same = F.col("__h") == F.col("__mix_h")
+    if not repeated.take(1):  # ids that are unique, as they should be: whole texts go through one shuffle
+        joined = of_row.join(decided.where("__copies > 0"), same)
+    else:
+        # rows that repeat id and text are numbered, and the n-th gets the n-th decision
+        few = F.broadcast(repeated) if repeated.count() <= BROADCAST_IDS else repeated
+        single = of_row.join(few, same, "left_anti").join(decided.join(few, "__mix_h", "left_anti").where("__copies > 0"), same)
+        rows = of_row.join(few, same, "left_semi").withColumn("__n", F.row_number().over(Window.partitionBy("__h").orderBy("__h")))
+        again = decided.join(few, "__mix_h", "left_semi")
+        again = again.withColumn("__m", F.row_number().over(Window.partitionBy("__mix_h").orderBy(F.desc("__copies"))))
+        joined = single.unionByName(rows.join(again.where("__copies > 0"), same & (F.col("__n") == F.col("__m"))), allowMissingColumns=True)
+    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
