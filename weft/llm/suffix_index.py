@@ -2,18 +2,22 @@
 
 Every byte covered by a string of LENGTH bytes that also starts in a document of a smaller id is found.
 
-The family (``SuffixFamily``) takes suffixes, cut at LENGTH bytes, in batches: a batch gets its suffix array, is
-merge-scanned against the arrays of the existing levels, and becomes a level itself; levels of about equal size merge.
+The family (``SuffixFamily``) takes text in batches: a batch gets its suffix array, over LENGTH bytes of each suffix, is
+merge-scanned against the suffix arrays of the existing levels, and becomes a level itself; levels of about equal size
+merge.  All that is found for a string comes from these scans.  What comes before them only compacts: equal strings
+around an anchor have equal suffixes, so they go through the family once, with the least id, and what it knows of their
+suffixes is held against each document that has them; the same goes for equal whole texts.
 
 Only suffixes near shared anchors can match.  An anchor is a place whose hash of GRAM bytes is the least of some string
 of LENGTH bytes, so equal strings have an anchor at the same place, and about one place in ten is one.  The job:
 
-1. copies of whole texts are found by hash; only the least id of each text goes on, the rest go whole;
+1. copies of whole texts are found by hash; only the least id of each text goes on, the rest, all of whose strings also
+   start in that document, go whole;
 2. anchors' hashes are dealt over buckets, where those of a single document are left out;
 3. documents meet their shared anchors and send each anchor's surroundings to the bucket of its hash; surroundings
    repeated within a group of documents are sent once, for the least id, the others being settled there;
-4. a bucket sorts what it got: whole surroundings of a smaller id settle an anchor outright; where a gram has several
-   surroundings, all their suffixes go through a family in the order of the ids;
+4. a bucket sorts what it got and compacts equal surroundings to the least id; the suffixes of these go through a
+   family in the order of the ids, but for grams with one surroundings only, which no other suffix can match;
 5. the found ranges are merged by document.
 
 A gram in more than HOT documents is dealt by the whole strings around it instead, so no bucket gathers it.
@@ -23,6 +27,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +36,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .chosen_path import BROADCAST_IDS
-from .common import checkpointed, trimmed
+from .common import BROADCAST_IDS, by_class, checkpointed, trimmed
 from .shingles import mix
 
 LENGTH = 50
@@ -44,42 +48,74 @@ PIECE = 1 << 20
 CHUNK_BYTES = 4 << 20
 BUCKET_BYTES = 64 << 20  # of text, whose anchors' hashes make one bucket
 SLICE_BYTES = 32 << 20  # of text, whose rows are formed together: large slices make few, large rows
-MOST_BUCKETS, MOST_CHUNKS = 1 << 18, 1 << 20
 BATCH = 1 << 16
 BROADCAST_BYTES = 24 << 20
 _BASE = 0x100000001B3
 _HOT_BIT = np.uint64(1 << 63)
 
 
+@dataclass
+class SuffixArray:
+    """A text's distinct suffixes, over LENGTH bytes, in order: their places, and the least document id of each."""
+
+    text: np.ndarray
+    places: np.ndarray
+    ids: np.ndarray
+
+    def suffixes(self) -> np.ndarray:
+        return _suffixes(self.text, self.places)
+
+
+def _suffixes(text: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """The first LENGTH bytes of the suffixes at these places, as they compare."""
+    if not len(places):
+        return np.empty(0, f"S{LENGTH}")
+    return np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(text, LENGTH)[places]).view(f"S{LENGTH}").ravel()
+
+
+def _merge_scan(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order that merges two sorted runs of suffixes, number of each merged suffix among the distinct ones)."""
+    both = np.concatenate([a, b])
+    order = np.argsort(both, kind="stable")  # sorts by merging runs: the two that are there, once
+    both = both[order]
+    return order, np.cumsum(np.concatenate([[True], both[1:] != both[:-1]])) - 1
+
+
 class SuffixFamily:
-    """Levels of sorted distinct suffixes with the least document id of each."""
+    """Suffix arrays of geometric sizes over all text that was added."""
 
     def __init__(self):
-        self.levels: list[tuple[np.ndarray, np.ndarray]] = []
-
-    def add(self, suffixes: np.ndarray, docs: np.ndarray) -> np.ndarray:
-        """Which of a batch's suffixes are in documents of smaller ids, in the batch or in batches before it."""
-        order = np.argsort(suffixes, kind="stable")
-        keys, ids = suffixes[order], docs[order]
+        self.levels: list[SuffixArray] = []
+
+    def add(self, text: np.ndarray, places: np.ndarray, docs: np.ndarray) -> np.ndarray:
+        """The least document id known, in this batch or before it, for the suffix at each of a batch's places."""
+        if not len(places):
+            return np.empty(0, np.int64)
+        keys = _suffixes(text, places)
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
         first = np.concatenate([[True], keys[1:] != keys[:-1]])
-        start = np.flatnonzero(first)
-        least = np.minimum.reduceat(ids, start)
-        own, group = keys[start], np.cumsum(first) - 1
-        known = least.copy()
-        for level, level_ids in self.levels:
-            at = np.minimum(np.searchsorted(level, own), len(level) - 1)
-            known = np.where(level[at] == own, np.minimum(known, level_ids[at]), known)
-        found = np.empty(len(docs), bool)
-        found[order] = known[group] < ids
-        self.levels.append((own, known))
-        while len(self.levels) > 1 and len(self.levels[-2][0]) <= 2 * len(self.levels[-1][0]):
-            (a, x), (b, y) = self.levels.pop(), self.levels.pop()
-            keys, ids = np.concatenate([b, a]), np.concatenate([y, x])
-            order = np.argsort(keys, kind="stable")  # two sorted runs: one merge
-            keys, ids = keys[order], ids[order]
-            start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-            self.levels.append((keys[start], np.minimum.reduceat(ids, start)))
-        return found
+        start, number = np.flatnonzero(first), np.empty(len(keys), np.int64)
+        number[order] = np.cumsum(first) - 1
+        own, known = keys[start], np.minimum.reduceat(docs[order], start)
+        batch = SuffixArray(text, places[order][start], known.copy())
+        for level in self.levels:
+            order, distinct = _merge_scan(level.suffixes(), own)
+            least = np.minimum.reduceat(np.concatenate([level.ids, known])[order], np.flatnonzero(np.diff(distinct, prepend=-1)))
+            from_batch = order >= len(level.ids)
+            known[order[from_batch] - len(level.ids)] = least[distinct[from_batch]]
+        self._push(batch)
+        return known[number]
+
+    def _push(self, level: SuffixArray) -> None:
+        while self.levels and len(self.levels[-1].ids) <= 2 * len(level.ids):
+            older = self.levels.pop()
+            order, distinct = _merge_scan(older.suffixes(), level.suffixes())
+            start = np.flatnonzero(np.diff(distinct, prepend=-1))
+            places = np.concatenate([older.places, level.places + len(older.text)])[order]
+            ids = np.concatenate([older.ids, level.ids])[order]
+            level = SuffixArray(np.concatenate([older.text, level.text]), places[start], np.minimum.reduceat(ids, start))
+        self.levels.append(level)
 
 
 def _slide(x: np.ndarray, width: int, best) -> np.ndarray:
@@ -341,35 +377,34 @@ def match_bucket(around: np.ndarray, docs: np.ndarray, places: np.ndarray) -> tu
         return np.empty(0, np.int64), np.empty((0, 2), np.int64)
     order, least = _settled(around, docs)
     around, docs, places = around[order], docs[order], places[order]
+    # equal surroundings stand for each other: in a document of a larger id than the least, all their strings are repeated
     whole = docs > least
     out_docs, out_spans = [docs[whole]], [_covered(around[whole], places[whole])]
     around, docs, places = around[~whole], docs[~whole], places[~whole]
-    if len(docs):
-        # grams of which all surroundings are equal have nothing left to find
-        new_gram = np.concatenate([[True], (around[1:, :GRAM] != around[:-1, :GRAM]).any(1)])
-        new_row = np.concatenate([[True], (around[1:] != around[:-1]).any(1)])
-        gram = np.cumsum(new_gram) - 1
-        several = np.bincount(gram, new_row)[gram] > 1
-        around, docs, places = around[several], docs[several], places[several]
-        order = np.argsort(docs, kind="stable")
-        around, docs, places = around[order], docs[order], places[order]
-        family = SuffixFamily()
-        step = BATCH // (SIDE + 1)
-        for s in range(0, len(docs), step):
-            part, ids, at = around[s : s + step], docs[s : s + step], places[s : s + step]
-            straight = np.concatenate([part[:, GRAM + SIDE : -2][:, ::-1], part[:, : GRAM + SIDE]], 1)
-            start = np.arange(SIDE + 1)  # suffixes start so many bytes into the surroundings
-            valid = (SIDE - start[None, :] <= part[:, -2:-1]) & (start[None, :] <= part[:, -1:])
-            who, off = np.nonzero(valid)
-            suffixes = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(straight, LENGTH, axis=1)[who, off])
-            found = family.add(suffixes.view(f"S{LENGTH}").ravel(), ids[who])
-            who, off = who[found], off[found]
-            if len(who):
-                head = np.flatnonzero(np.diff(who, prepend=-1))
-                hit = who[head]
-                lo, hi = np.minimum.reduceat(off, head), np.maximum.reduceat(off, head)
-                out_docs.append(ids[hit])
-                out_spans.append(np.column_stack([at[hit] - SIDE + lo, at[hit] - SIDE + hi + LENGTH]))
+    # a gram with only one surroundings has no other suffix to meet
+    new_gram = np.concatenate([[True], (around[1:, :GRAM] != around[:-1, :GRAM]).any(1)])
+    new_row = np.concatenate([[True], (around[1:] != around[:-1]).any(1)])
+    gram = np.cumsum(new_gram) - 1
+    several = np.bincount(gram, new_row)[gram] > 1
+    around, docs, places = around[several], docs[several], places[several]
+    order = np.argsort(docs, kind="stable")
+    around, docs, places = around[order], docs[order], places[order]
+    family = SuffixFamily()
+    step, wide = BATCH // (SIDE + 1), GRAM + 2 * SIDE
+    for s in range(0, len(docs), step):
+        part, ids, at = around[s : s + step], docs[s : s + step], places[s : s + step]
+        straight = np.concatenate([part[:, GRAM + SIDE : -2][:, ::-1], part[:, : GRAM + SIDE]], 1)
+        start = np.arange(SIDE + 1)  # suffixes start so many bytes into the surroundings
+        valid = (SIDE - start[None, :] <= part[:, -2:-1]) & (start[None, :] <= part[:, -1:])
+        who, off = np.nonzero(valid)
+        found = family.add(straight.ravel(), who * wide + off, ids[who]) < ids[who]
+        who, off = who[found], off[found]
+        if len(who):
+            head = np.flatnonzero(np.diff(who, prepend=-1))
+            hit = who[head]
+            lo, hi = np.minimum.reduceat(off, head), np.maximum.reduceat(off, head)
+            out_docs.append(ids[hit])
+            out_spans.append(np.column_stack([at[hit] - SIDE + lo, at[hit] - SIDE + hi + LENGTH]))
     return np.concatenate(out_docs), np.concatenate(out_spans)
 
 
@@ -440,12 +475,13 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     texts = rows.where(F.octet_length("text") >= LENGTH)
     hashed = every.where(F.col("n") >= LENGTH)
     total = hashed.agg(F.sum("n")).first()[0] or 0
-    first = hashed.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("last")).where("last > least")
+    first = hashed.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("rows"))
+    first = checkpointed(first.where("last > least").drop("last"))
     key = ["doc_id", "h1", "h2", "n"]
     one = F.struct("h1", "h2", "n")
     several = checkpointed(every.groupBy("doc_id").agg(F.min(one).alias("a"), F.max(one).alias("b")).where("a <> b").select("doc_id"))
     by = key if several.count() else ["doc_id"]  # ids of one text, as ids should be, need no more
-    copies = checkpointed(hashed.join(first, ["h1", "h2", "n"]).where("doc_id > least").select(*key).distinct())
+    copies = checkpointed(by_class(hashed, first, ["h1", "h2", "n"], "rows").where("doc_id > least").select(*key).distinct())
     away = _few(copies.select(*by).distinct())
     if by == key:
         # the texts of an id are one document of several parts, a byte apart: none is smaller than another
@@ -461,9 +497,9 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     single = texts.join(away, by, "left_anti").select("doc_id", "start", "text")
 
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    chunks = min(MOST_CHUNKS, max(least, -(-total // CHUNK_BYTES)))
-    buckets = min(MOST_BUCKETS, 2 * chunks)
-    hash_buckets = min(MOST_BUCKETS, max(least, -(-total // BUCKET_BYTES)))
+    chunks = max(least, -(-total // CHUNK_BYTES))
+    buckets = 2 * chunks
+    hash_buckets = max(least, -(-total // BUCKET_BYTES))
     hashes = single.mapInArrow(trimmed(_hash_rows(hash_buckets)), _ddl(HASHES))
     shared = hashes.groupBy("bucket").applyInArrow(_shared_rows(chunks, hot), _ddl(SHARED))
     placed = single.mapInArrow(trimmed(_text_rows(chunks)), _ddl(TEXTS))
