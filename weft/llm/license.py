@@ -1,12 +1,14 @@
 """License scan by exact set-similarity join of text blocks with license templates.
 
-A block is a line; its set is its distinct words.  A template is a license notice, also a set of words.  A block
-carries a template's label if it holds at least ``THRESHOLD`` of the template's words.  The join is exact: tokens are
-ordered by document frequency over the whole corpus, rarest first; a block that reaches the threshold must hold a word
-of the template's prefix (the words without which too few are left), must have enough words (length filter), and what
-can still follow the first shared prefix word must suffice (positional filter).  The rest is verified.
-
-Only DataFrame functions: blocks without a prefix word are never exploded, and templates are a constant table.
+A template is a license notice as a set of words.  A block is a run of consecutive words of a text, wherever its lines
+break, a quarter longer than the notice; all such runs are blocks.  A text carries a template's label if one of its
+blocks holds at least ``THRESHOLD`` of the template's words.  The join is exact: tokens are ordered by document
+frequency over the whole corpus, rarest first; a block that reaches the threshold must hold a word of the template's
+prefix (the words without which too few are left), there must be enough words (length filter), and enough of the
+template's words must stand within a block's length of the prefix word (positional filter).  The rest is verified.
+
+Only DataFrame functions: texts without a prefix word are never cut into words for this, and templates are a constant
+table.
 """
 
 from __future__ import annotations
@@ -21,20 +23,64 @@ NOT_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PHRASES = {"mit": "under the mit license", "apache-2": "apache license version 2", "cc-by-nc": "cc by nc"}
 TEMPLATES = {
-    "agpl-3": "gnu affero general public license version 3",
-    "all-rights-reserved": "all rights reserved",
-    "apache-2": "licensed under the apache license version 2 0",
-    "bsd": "redistribution and use in source and binary forms with or without modification are permitted",
-    "cc-by-nc": "licensed under cc by nc 4 0",
-    "cc-by-sa": "licensed under the creative commons attribution sharealike license",
-    "gpl-3": "this work is licensed under the gnu general public license version 3",
-    "mit": "released under the mit license",
-    "mpl-2": "subject to the terms of the mozilla public license v 2 0",
-    "public-domain": "this work is released into the public domain",
+    "agpl-3": ("gnu affero general public license version 3",),
+    "all-rights-reserved": ("all rights reserved",),
+    "apache-2": (
+        "licensed under the apache license version 2 0",
+        "you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0",
+    ),
+    "bsd": (
+        "redistribution and use in source and binary forms with or without modification are permitted",
+        "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer",
+    ),
+    "bsl-1": (
+        "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation "
+        "covered by this license the software to use reproduce display distribute execute and transmit the software",
+    ),
+    "cc-by-nc": ("licensed under cc by nc 4 0", "licensed under the creative commons attribution noncommercial license"),
+    "cc-by-sa": ("licensed under the creative commons attribution sharealike license",),
+    "cc0": ("to the extent possible under law has waived all copyright and related or neighboring rights to this work",),
+    "epl-2": ("this program and the accompanying materials are made available under the terms of the eclipse public license 2 0",),
+    "gpl": (
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by "
+        "the free software foundation",
+    ),
+    "gpl-3": ("this work is licensed under the gnu general public license version 3",),
+    "isc": ("permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted",),
+    "lgpl": (
+        "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published "
+        "by the free software foundation",
+    ),
+    "mit": (
+        "released under the mit license",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software "
+        "to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense "
+        "and or sell copies of the software",
+    ),
+    "mpl-2": (
+        "subject to the terms of the mozilla public license v 2 0",
+        "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0",
+    ),
+    "public-domain": ("this work is released into the public domain",),
+    "unlicense": ("this is free and unencumbered software released into the public domain",),
+    "zlib": (
+        "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising "
+        "from the use of this software",
+    ),
 }
 THRESHOLD = 0.9
 
 
+def templates_of(notices: dict[str, tuple[str, ...]], threshold: float) -> list[tuple[str, list[str], int, int]]:
+    """(label, distinct words, words that a block must hold, words of a block) of every notice."""
+    out = []
+    for label, texts in notices.items():
+        for text in texts:
+            words = sorted(set(text.split()))
+            out.append((label, words, ceil(threshold * len(words) - 1e-9), ceil(1.25 * len(text.split()))))
+    return out
+
+
 def flattened(text: Column) -> Column:
     """The text's words with one space between them, letters as they are.  Null gives an empty string."""
     return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), NOT_WORD, " "))
@@ -69,41 +115,58 @@ def token_order(docs: DataFrame, vocabulary: list[str], text_col: str = "text")
     return sorted(vocabulary, key=lambda w: (counts.get(w, 0), w))
 
 
+def _near(words: Column, wanted: Column, reach: int) -> Column:
+    """(token, at, near) of every place of a wanted word: the words up to ``reach`` - 1 places off, and its place in them."""
+
+    def places(ws: Column) -> Column:
+        numbered = F.transform(ws, lambda w, i: F.struct(w.alias("w"), i.alias("i")))
+        found = F.filter(numbered, lambda x: F.array_contains(wanted, x["w"]))
+        before = lambda x: F.least(x["i"], F.lit(reach - 1))
+        return F.transform(
+            found,
+            lambda x: F.struct(x["w"].alias("token"), before(x).alias("at"), F.slice(ws, x["i"] - before(x) + 1, before(x) + reach).alias("near")),
+        )
+
+    # bound to a lambda variable, the words are worked out once a text
+    return F.element_at(F.transform(F.array(words), places), 1)
+
+
 def template_blocks(
     docs: DataFrame, *, key: tuple[str, ...] = ("doc_id",), text_col: str = "text",
-    templates: dict[str, str] | None = None, threshold: float = THRESHOLD,
-) -> DataFrame:
-    """(*key, line, label, containment) of every block that holds at least ``threshold`` of a template's words."""
+    templates: dict[str, tuple[str, ...]] | None = None, threshold: float = THRESHOLD,
+) -> DataFrame:
+    """(*key, label, containment): what the best block around a prefix word holds, if ``threshold`` of a template's words.
+
+    A pair comes once for each place of a prefix word.
+    """
     spark = docs.sparkSession
-    sets = {k: sorted(set(v.split())) for k, v in (templates or TEMPLATES).items()}
-    order = token_order(docs, sorted({w for ws in sets.values() for w in ws}), text_col)
+    known = templates_of(templates or TEMPLATES, threshold)
+    order = {w: i for i, w in enumerate(token_order(docs, sorted({w for _, ws, _, _ in known for w in ws}), text_col))}
     rows = []
-    for label, ws in sets.items():
-        need, ranked = ceil(threshold * len(ws) - 1e-9), sorted(ws, key=order.index)
-        rows += [(label, w, i, need, len(ws), ranked) for i, w in enumerate(ranked[: len(ws) - need + 1])]
-    prefixes = spark.createDataFrame(rows, "label string, token string, position int, need int, n int, ranked array<string>")
+    for label, ws, need, width in known:
+        ranked = sorted(ws, key=order.__getitem__)
+        rows += [(label, w, need, width, len(ws), ranked) for w in ranked[: len(ws) - need + 1]]
+    prefixes = spark.createDataFrame(rows, "label string, token string, need int, width int, n int, ranked array<string>")
     firsts = sorted({r[1] for r in rows})
     # a text without the letters of any prefix word holds no candidate: it is not cut into words
     low = F.lower(F.col(text_col))
     possible = low.contains(firsts[0])
     for w in firsts[1:]:
         possible = possible | low.contains(w)
-    wanted = F.array(*map(F.lit, firsts))
+    words = _words(ascii_lower(flattened(F.col(text_col))))
+    places = docs.where(possible).select(*key, F.explode(_near(words, F.array(*map(F.lit, firsts)), max(r[3] for r in rows))).alias("x"))
+    before = F.least("x.at", F.col("width") - 1)
     candidates = (
-        docs.where(possible)
-        .select(*key, F.explode(F.split(F.col(text_col), "\n")).alias("line"))
-        .withColumn("words", F.array_distinct(_words(ascii_lower(flattened(F.col("line"))))))
-        .where(F.arrays_overlap("words", wanted))
-        .select(*key, "line", "words", F.explode(F.array_intersect("words", wanted)).alias("token"))
-        .join(F.broadcast(prefixes), "token")  # a constant table of some dozens of rows
-        .where(F.size("words") >= F.col("need"))  # length
-        .withColumn("common", F.array_intersect("ranked", "words"))
-        # positional: of a block's prefix words the first in the order stands for the pair, and what can follow it must do
-        .where((F.element_at("common", 1) == F.col("token")) & (F.col("n") - F.col("position") >= F.col("need")))
-    )
-    return candidates.where(F.size("common") >= F.col("need")).select(
-        *key, "line", "label", (F.size("common") / F.col("n")).alias("containment")
+        places.join(F.broadcast(prefixes), F.col("x.token") == F.col("token"))  # a constant table of some dozens of rows
+        # positional: only words within a block's length of the prefix word can share a block with it
+        .withColumn("block", F.slice("x.near", F.col("x.at") - before + 1, before + F.col("width")))
+        .where(F.size("block") >= F.col("need"))  # length
+        .where(F.size(F.array_intersect("ranked", "block")) >= F.col("need"))
     )
+    starts = F.sequence(F.lit(1), F.greatest(F.size("block") - F.col("width") + 1, F.lit(1)))
+    most = F.array_max(F.transform(starts, lambda s: F.size(F.array_intersect("ranked", F.slice("block", s, F.col("width"))))))
+    found = candidates.withColumn("most", most).where(F.col("most") >= F.col("need"))
+    return found.select(*key, "label", (F.col("most") / F.col("n")).alias("containment"))
 
 
 def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -111,7 +174,8 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
 
     Base labels come from the phrases, labels from phrases and templates.  ``score`` is 1 with a phrase, else the
     largest containment found, else 0.  Null and empty texts have no words; repeated rows are scanned each; labels are
-    in order, joined by commas, and empty if there are none.  Other columns are not read.
+    in order, joined by commas, and empty if there are none.  An empty table gives an empty result; other columns are
+    not read.
     """
     text = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).withColumn("h", F.xxhash64("text"))
     hits = (

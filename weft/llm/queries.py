@@ -90,9 +90,10 @@ FROM marked GROUP BY doc_id
     "op5_license": "WITH w AS (SELECT doc_id, text, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),\n"
     "p(label, ps) AS (VALUES " + ", ".join(f"('{k}', string_split('{v}', ' '))" for k, v in license.PHRASES.items()) + "),\n"
     "base AS (SELECT doc_id, label, unnest(list_filter(range(0, len(ws)), lambda i: ws[i+1:i+len(ps)] = ps)) AS pos FROM w, p WHERE list_has_all(ws, ps)),\n"
-    "t(label, ts) AS (VALUES " + ", ".join(f"('{k}', list_distinct(string_split('{v}', ' ')))" for k, v in license.TEMPLATES.items()) + "),\n"
-    "blocks AS (SELECT doc_id, list_distinct(regexp_extract_all(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS ls FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM documents)),\n"
-    f"hits AS (SELECT doc_id, label, len(list_intersect(ts, ls)) / CAST(len(ts) AS DOUBLE) AS c FROM blocks, t WHERE len(list_intersect(ts, ls)) >= ceil({license.THRESHOLD} * len(ts) - 1e-9)),\n"
+    "t(label, ts, need, width) AS (VALUES " + ", ".join(f"('{k}', string_split('{' '.join(ws)}', ' '), {need}, {width})" for k, ws, need, width in license.templates_of(license.TEMPLATES, license.THRESHOLD)) + "),\n"
+    "possible AS (SELECT doc_id, ws, label, ts, need, width FROM w, t WHERE len(list_intersect(ts, list_distinct(ws))) >= need),\n"
+    "best AS (SELECT doc_id, label, ts, need, list_max(list_transform(range(0, greatest(len(ws) - width, 0) + 1), lambda i: len(list_intersect(ts, list_distinct(ws[i+1:i+width]))))) AS most FROM possible),\n"
+    "hits AS (SELECT doc_id, label, most / CAST(len(ts) AS DOUBLE) AS c FROM best WHERE most >= need),\n"
     "b AS (SELECT doc_id, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM base GROUP BY doc_id),\n"
     "a AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT doc_id, label FROM base UNION SELECT doc_id, label FROM hits) GROUP BY doc_id),\n"
     "h AS (SELECT doc_id, max(c) AS c FROM hits GROUP BY doc_id)\n"
