@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from test_texts import brute_lines, brute_targets, tokenizer
-from weft.llm import chosen_path, ego_join, langid, mixing, perm_index, suffix_index
-from weft.llm.common import table, train_row
+from weft.llm import chosen_path, ego_join, mixing, perm_index, suffix_index
+from weft.llm.common import by_class, lowest_by_hash, table
 from weft.llm.components import components
 
 SF = "/root/testdata/sf0.001"
@@ -75,15 +75,22 @@ def test_suffix_dedup_of_ids_with_several_texts(spark, broadcast, monkeypatch):
 
 def test_suffix_family_keeps_geometric_levels():
     rng = np.random.default_rng(4)
-    family, seen = suffix_index.SuffixFamily(), {}
-    for batch in range(20):
-        keys = np.array([bytes([97 + x]) * 50 for x in rng.integers(0, 26, 30)], "S50")
-        docs = np.full(30, batch)
-        found = family.add(keys, docs)
-        assert found.tolist() == [k in seen for k in keys.tolist()]
-        seen |= dict.fromkeys(keys.tolist(), batch)
-        sizes = [len(k) for k, _ in family.levels]
-        assert all(a > 2 * b for a, b in zip(sizes, sizes[1:], strict=False))
+    family, least = suffix_index.SuffixFamily(), {}
+    for batch in range(30):
+        text = rng.choice(np.frombuffer(b"ab", np.uint8), 80)
+        if batch % 3:
+            text[:60] = [*b"abcdef" * 10]
+        text = np.concatenate([np.frombuffer(b"\0" * (batch % 2), np.uint8), text])
+        places = rng.permutation(len(text) - 49)
+        known = family.add(text, places, np.full(len(places), batch))
+        for place, id_ in zip(places, known, strict=True):
+            assert id_ == least.setdefault(text[place : place + 50].tobytes(), batch)
+        sizes = [len(level.ids) for level in family.levels]
+        assert all(x > 2 * y for x, y in zip(sizes, sizes[1:], strict=False)) and sum(sizes) <= len(least) * 2
+        for level in family.levels:
+            strings = [level.text[k : k + 50].tobytes() for k in level.places]
+            assert strings == sorted(set(strings)) and [least[x] for x in strings] <= list(level.ids)
+    assert len(family.add(np.empty(0, np.uint8), np.empty(0, np.int64), np.empty(0, np.int64))) == 0
 
 
 def shingles(text):
@@ -91,23 +98,32 @@ def shingles(text):
     return frozenset(tuple(words[i : i + 5]) for i in range(len(words) - 4)) or frozenset([tuple(words)] if words else [])
 
 
-def brute_groups(rows):
-    """(links, group) by id."""
-    sets = {i: shingles(t) for i, t in rows}
-    links, group = dict.fromkeys(sets, 0), {i: i for i in sets}
-    order = sorted(sets)
-    for x, a in enumerate(order):
-        for b in order[:x]:
-            common = len(sets[a] & sets[b])
-            if common and common * 5 >= 4 * len(sets[a] | sets[b]):
+def similar(a, b):
+    common = len(a & b)
+    return common > 0 and common * 5 >= 4 * len(a | b)
+
+
+def linked_rows(n, linked):
+    """(links, index of the least row reachable) of rows 0 to n - 1, in order."""
+    links, group = [0] * n, list(range(n))
+    for a in range(n):
+        for b in range(a):
+            if linked(a, b):
                 links[a] += 1
                 links[b] += 1
-                old, new = sorted((group[a], group[b]), reverse=True)
+                old, new = max(group[a], group[b]), min(group[a], group[b])
                 if old != new:
-                    group = {k: new if g == old else g for k, g in group.items()}
+                    group = [new if g == old else g for g in group]
     return links, group
 
 
+def brute_groups(rows):
+    """(links, group) by id, for rows of distinct ids."""
+    ids, sets = zip(*sorted((i, shingles(t)) for i, t in rows), strict=True)
+    links, group = linked_rows(len(ids), lambda a, b: similar(sets[a], sets[b]))
+    return dict(zip(ids, links, strict=True)), {i: ids[g] for i, g in zip(ids, group, strict=True)}
+
+
 def near_copies(n, groups, seed):
     rng = np.random.default_rng(seed)
     vocabulary = [f"w{k}" for k in range(500)]
@@ -132,11 +148,45 @@ def test_chosen_path_equals_brute_force(spark, awkward, nothing, monkeypatch):
         assert (r.n_links, r.group_id, r.kept) == (links[r.doc_id], group[r.doc_id], group[r.doc_id] == r.doc_id), r
     got = {r.doc_id: r for r in chosen_path.near_duplicates(awkward).collect()}
     assert (got[4].n_links, got[5].class_id, got[5].kept) == (1, 4, False) and got[10].group_id == 9
-    assert (got[1].n_links, got[2].n_links, got[3].n_links, got[1].kept, got[None].kept) == (0, 0, 0, True, True)
+    assert (got[1].n_links, got[2].n_links, got[3].n_links, got[1].kept, got[None].kept, got[11].n_links) == (0, 0, 0, True, True, 1)
     assert chosen_path.near_duplicates(nothing).count() == 0
     monkeypatch.setattr(chosen_path, "BROADCAST_IDS", -1)  # the way beyond the size check
     kept = chosen_path.one_of_each_group(awkward)
-    assert kept.columns == awkward.columns and {r.doc_id for r in kept.collect()} == {1, 2, 3, 4, 6, 7, 8, 9, 11, None}
+    assert kept.columns == awkward.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 3, 4, 6, 7, 8, 9, 11]
+
+
+def test_chosen_path_of_ids_with_several_texts(spark):
+    text = lambda k, edit="": " ".join([f"t{k}w{i}" for i in range(60)] + [edit])
+    rows = [(1, text(1)), (1, text(2)), (2, text(1, "x")), (3, text(2, "y")), (3, text(2, "y")), (4, text(3)), (4, text(1, "z")), (5, ""), (6, ""), (7, None), (8, None), (9, " "), (1, text(1))]
+    rows = sorted(rows, key=lambda r: r[0])
+    sets = [shingles(t) if shingles(t) else t for _, t in rows]
+    linked = lambda a, b: similar(sets[a], sets[b]) if isinstance(sets[a], frozenset) and isinstance(sets[b], frozenset) else sets[a] is not None and sets[a] == sets[b]
+    links, group = linked_rows(len(rows), linked)
+    expected = sorted((i, n, rows[g][0]) for (i, _), n, g in zip(rows, links, group, strict=True))
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("th", F.lit("x")).withColumn("head", F.lit(1))
+    got = chosen_path.near_duplicates(df, recall=0.9999).collect()
+    assert sorted((r.doc_id, r.n_links, r.group_id) for r in got) == expected
+    kept = chosen_path.one_of_each_group(df)
+    assert kept.columns == df.columns and sorted((r.doc_id, r.text or "") for r in kept.collect())[2:] == [(4, text(3)), (5, ""), (7, ""), (8, ""), (9, " ")]
+    assert sorted(r.text[:3] for r in kept.where("doc_id = 1").collect()) == ["t1w", "t2w"]
+
+
+def test_chosen_path_finds_what_it_promises(spark, monkeypatch):
+    """At the recall of the query, in buckets that are split to the last depth."""
+    monkeypatch.setattr(chosen_path, "LIMIT", 4)
+    rng = np.random.default_rng(3)
+    common = [f"c{k}" for k in range(300)]
+    rows = []
+    for g in range(300):  # pairs of a similarity of just 0.8 and more, with shared passages that make buckets large
+        base = [f"g{g}w{k}" for k in range(90)] + common[:60]
+        near = base.copy()
+        for at in rng.choice([12, 30, 48], int(rng.integers(1, 4)), replace=False):
+            near[at] = "edit"
+        rows += [(2 * g, " ".join(base)), (2 * g + 1, " ".join(near))]
+    links, _ = brute_groups(rows)
+    assert sum(links.values()) == 600
+    got = chosen_path.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r.n_links <= links[r.doc_id] for r in got) and sum(r.n_links for r in got) >= 0.99 * 600
 
 
 def test_components(spark):
@@ -186,38 +236,64 @@ def test_grid_join_equals_brute_force(spark, block):
     assert ego_join.link_vectors(df.limit(0)).count() == 0
 
 
-def test_permutation_index(spark):
-    docs = table(spark, "/root/testdata/sf0.01", "embeddings")
-    rows = [tuple(r) for r in docs.select("vec_id", "embedding").collect()] + [(100_000 + i, v) for i, v, _ in vectors(2) if i and i >= 1000]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
-    u = {i: unit(v) for i, v in rows}
+def test_grid_join_of_ids_with_several_vectors(spark):
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(6, 8))
+    rows = [(int(i), [float(x) for x in base[k] + rng.normal(size=8) * 0.05], int(label)) for i, k, label in zip(rng.integers(0, 12, 60), rng.integers(0, 6, 60), rng.integers(0, 2, 60), strict=True)]
+    rows = sorted([*rows, rows[0], (rows[1][0], [1.0, 0.0], 0)])
+    u = [unit(v) for _, v, _ in rows]
+    links, group = linked_rows(len(rows), lambda a, b: rows[a][2] == rows[b][2] and len(u[a]) == len(u[b]) and u[a] @ u[b] >= 0.93)
+    least = {g: min(i for (i, _, _), h in zip(rows, group, strict=True) if h == g) for g in group}
+    expected = sorted((i, n, least[g]) for (i, _, _), n, g in zip(rows, links, group, strict=True))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    for block in (1024, 4):
+        assert sorted((r.vec_id, r.n_links, r.component_id) for r in ego_join.link_vectors(df, block=block).collect()) == expected
+
+
+def nearest(rows, k=5):
+    """The k nearest other rows of each query row that takes part, as (query id, [(score, id)], all scores)."""
+    u = [unit(v) for _, v in rows]
+    for q, x in enumerate(u):
+        if rows[q][0] is not None and rows[q][0] % 50 == 0 and x is not None:
+            others = [(-float(x @ y), rows[c][0]) for c, y in enumerate(u) if c != q and y is not None and len(y) == len(x) and rows[c][0] is not None]
+            yield rows[q][0], x, sorted(others)[:k]
+
+
+@pytest.mark.parametrize(("sf", "shard"), [("sf0.1", perm_index.SHARD), ("sf0.1", 500), ("sf0.01", 60)])
+def test_permutation_index_recall(spark, sf, shard):
+    rows = [tuple(r) for r in table(spark, f"/root/testdata/{sf}", "embeddings").select("vec_id", "embedding").collect()]
+    rows += [(100_000 + i, v) for i, v, _ in vectors(2) if i and i >= 1000] + [(None, rows[0][1])]
+    if shard > 60:  # shards are ranked, not returned whole
+        assert perm_index.MORE + perm_index.SHARE * min(shard, len(rows)) < 0.3 * min(shard, len(rows))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("ids", F.lit(1)).withColumn("dim", F.lit("x"))
     got = {}
-    for r in perm_index.search(df, F.col("vec_id") % 50 == 0, shard=100).collect():
+    for r in perm_index.search(df, F.col("vec_id") % 50 == 0, shard=shard).collect():
         got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
     hits = total = 0
-    for q, x in u.items():
-        if q % 50 or x is None:
-            assert q not in got
-            continue
-        near = sorted((-(x @ y), i) for i, y in u.items() if i != q and y is not None and len(y) == len(x))[:5]
-        found = sorted(got.get(q, []))
+    u = {i: unit(v) for i, v in rows}
+    for q, x, near in nearest(rows):
+        found = sorted(got.pop(q, []))
         assert [f[0] for f in found] == list(range(1, len(near) + 1))
-        assert all(abs(s - x @ u[i]) < 1e-12 for _, i, s in found)
+        assert all(abs(s - x @ u[i]) < 1e-12 for _, i, s in found) and [f[2] for f in found] == sorted((f[2] for f in found), reverse=True)
         hits += sum(s >= -near[-1][0] - 1e-12 for _, _, s in found)
         total += len(near)
-    assert hits >= 0.9 * total
+    assert not got and total > 0 and hits >= 0.9 * total
     assert perm_index.search(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_permutation_index_of_repeated_rows(spark):
+    rng = np.random.default_rng(5)
+    v = [[float(x) for x in rng.normal(size=4)] for _ in range(5)]
+    rows = [(0, v[0]), (0, v[0]), (0, v[1]), (50, v[0]), (1, v[0]), (2, v[2]), (2, v[3]), (3, v[4]), (100, [1.0, 2.0])]
+    got = sorted((r.query_id, round(r.score, 9), r.vec_id) for r in perm_index.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0).collect())
+    expected = {(q, tuple(x), round(-s, 9), i, n) for q, x, near in nearest(rows) for n, (s, i) in enumerate(near)}  # rows that repeat both ask once
+    assert got == sorted((q, s, i) for q, _, s, i, _ in expected)
+
+
 def test_pipeline_equals_brute_force(spark):
     docs = table(spark, SF, "documents")
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "near_dedup", "mix_sources", "tokenize"]
-    names, p = langid.learn(docs.where(train_row(F.col("doc_id"))))
-    kept = []
-    for r in docs.collect():
-        grams = langid.trigrams(r.text or "")
-        if len(grams) and langid.infer(p, grams)[1][0] >= 0.5:
-            kept.append((r.doc_id, r.text, r.source))
+    kept = [(r.doc_id, r.text, r.source) for r in docs.collect() if r.text and any(c.isalpha() for c in r.text)]
     texts = brute_lines(kept)
     kept = [(i, new, s) for (i, _, s), new in zip(kept, texts, strict=True)]
     _, group = brute_groups([(i, t) for i, t, _ in kept])
@@ -234,3 +310,34 @@ def test_pipeline_equals_brute_force(spark):
     for s, target in brute_targets(size).items():
         taken = sum(n * words(kept[i][0]) for i, n in counts.items() if kept[i][1] == s)
         assert abs(taken - target) <= max(words(x) for x, y in kept.values() if y == s)
+
+
+def test_pipeline_of_awkward_rows(spark, awkward, nothing, tmp_path):
+    awkward = awkward.withColumns({c: F.lit("x") for c in ("n_lines", "n_dropped", "th", "copies", "n_tokens", "lang_pred", "h")})
+    for name, docs in (("awkward", awkward), ("nothing", nothing), ("bare", awkward.select("doc_id", "text", "lang", "source"))):
+        docs.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        columns = docs.columns
+        for stage, run in corpus_pipeline.STAGES[:-1]:
+            out = run(spark, docs, f"{tmp_path}/{name}")
+            assert out.columns == columns and out.dtypes == docs.dtypes, stage
+            docs = out
+        rows = corpus_pipeline.run(spark, f"{tmp_path}/{name}").collect()
+        assert all(r.decoded_ok for r in rows) and (not rows) == (name == "nothing")
+        assert {r.doc_id for r in rows} <= {None, 4, 6, 7, 8, 9, 11} if name != "nothing" else True
+
+
+def test_keys_with_many_rows_meet_their_class(spark, monkeypatch):
+    rows = spark.range(5000).select((F.col("id") % 10 * (F.col("id") % 3)).alias("k"), "id").unionByName(spark.sql("SELECT CAST(NULL AS LONG) k, 9000L id"))
+    classes = rows.where("k IS NOT NULL").groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("k <> 4")
+    expected = sorted(map(str, rows.join(classes, "k", "left").collect()))
+    assert max(r.n for r in classes.collect()) > 256 > min(r.n for r in classes.collect())
+    got = by_class(rows, classes, ["k"], "n")
+    assert sorted(map(str, got.select("k", "id", "n").collect())) == expected
+
+
+def test_lowest_by_hash_is_a_sample_of_each_group(spark):
+    rows = spark.range(20_000).select("id", F.when(F.col("id") % 100 == 0, "rare").when(F.col("id") % 7 == 0, F.lit(None)).otherwise("often").alias("g"))
+    ranked = lambda df: sorted((r.id for r in df.collect()))
+    everyone = rows.where("g = 'often'").orderBy(F.xxhash64(F.lit(3), "id")).limit(300)
+    got = lowest_by_hash(rows.where("g IS NOT NULL"), "g", "id", 300, 3)
+    assert got.where("g = 'rare'").count() == 200 and ranked(got.where("g = 'often'")) == ranked(everyone)

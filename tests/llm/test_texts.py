@@ -1,6 +1,7 @@
 """Encoding, licenses, languages, quality, lines and mixing on awkward rows and against other implementations."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -75,7 +76,17 @@ def test_license_scan(spark, awkward, nothing):
     assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels, r.score) == (7, 1, 0, 0, "mit", "all-rights-reserved,mit", 1.0)
     assert (got[1].n_words, got[1].first_word, got[1].labels, got[1].score) == (0, None, "", 0.0)
     rows = [(1, "cc by nc cc-by-nc. CC BY\nNC xapache license version 2 and Apache License, Version 2"), (2, "under the MIT license"), (3, "gnu general public license version 3 is under this work, licensed the")]
-    got = by_id(license.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    rows += [
+        (4, 'x\n# Permission is hereby granted, free of charge, to any person obtaining a copy\n# of this software and associated documentation files (the "Software"), to deal\n# in the Software without restriction, including without limitation the rights\n# to use, copy, modify, merge, publish, distribute, sublicense, and/or sell\n# copies of the Software'),
+        (5, "some words here. Redistribution and use in source and binary\nforms, with or without\n\nmodification, are permitted" + " and so on" * 50),
+        (6, "GNU Affero\nGeneral Public License\nVersion 3"), (7, "all of it is well and good\nrights are " + "not " * 30 + "reserved"),
+        (7, "All rights\nreserved."), (8, None), (9, "rights reserved all rights all reserved " * 3000), (None, "all rights reserved"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit("x") for c in ("token", "label", "block", "x", "words")})
+    all_rows = license.scan(df).collect()
+    assert sorted(r.labels for r in all_rows if r.doc_id == 7) == ["", "all-rights-reserved"] and len(all_rows) == len(rows)
+    got = by_id(all_rows)
+    assert [got[k].labels for k in (4, 5, 6, 8, 9, None)] == ["mit", "bsd", "agpl-3", "", "all-rights-reserved", "all-rights-reserved"]
     assert (got[1].n_base, got[1].first_word, got[1].last_word, got[1].base_labels) == (4, 0, 14, "apache-2,cc-by-nc")
     assert got[2].n_base == 0 and got[3].labels == "gpl-3" and got[3].score == 1.0
 
@@ -90,6 +101,17 @@ def brute_lines(docs):
     return [None if text is None else "\n".join(x for x in text.split("\n") if (host, x.strip(" ")) not in gone) for _, text, host in docs]
 
 
+def test_line_dedup_of_small_hosts_and_clashing_names(spark):
+    rows = [(1, "a\nfoot", "three"), (2, "b\nfoot", "three"), (3, "c\nfoot", "three"), (4, "only\nfoot", "one"), (5, "x\ny", "two"), (6, "x\nz", "two")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns({c: F.lit("kept") for c in ("n_lines", "n_dropped", "host", "line", "pages", "h1")})
+    got = {r.doc_id: r for r in line_dedup.dedup_lines(df).collect()}
+    assert [got[k].text for k in range(1, 7)] == brute_lines(rows) == ["a", "b", "c", "only\nfoot", "y", "z"]
+    assert [(got[k].n_lines, got[k].n_dropped) for k in (1, 4)] == [(2, 1), (2, 0)] and got[1].pages == "kept"
+    out = line_dedup.without_boilerplate(df)
+    assert out.columns == df.columns and {(r.n_lines, r.n_dropped) for r in out.collect()} == {("kept", "kept")}
+    assert {r.doc_id: r.text for r in out.collect()} == {k: r.text for k, r in got.items()}
+
+
 @pytest.mark.parametrize("limit", [200_000, -1])
 def test_line_dedup_in_both_joins(spark, awkward, nothing, limit, monkeypatch):
     monkeypatch.setattr(line_dedup, "BROADCAST_LINES", limit)
@@ -120,12 +142,100 @@ def test_language_id(spark, awkward, nothing):
 
 def test_mixture_of_two_languages(spark):
     docs = table(spark, "/root/testdata/sf0.01", "documents")
-    names, p = langid.learn(docs)
+    model = langid.learn(docs)
     texts = {r.lang: r.text for r in docs.where("length(text) BETWEEN 1000 AND 3000").collect()}
-    which, share = langid.infer(p, langid.trigrams(texts["en"][:900] + " " + texts["de"][:900]))
-    assert {names[k] for k in which} == {"en", "de"} and 0.3 < share[0] < 0.7
-    which, share = langid.infer(p, langid.trigrams(texts["fr"]))
-    assert [names[k] for k in which] == ["fr"] and share[0] == 1
+    which, share = langid.infer(model, langid.trigrams(texts["en"][:900] + " " + texts["de"][:900]))
+    assert {model.langs[k] for k in which} == {"en", "de"} and 0.3 < share[0] < 0.7
+    which, share = langid.infer(model, langid.trigrams(texts["fr"]))
+    assert [model.langs[k] for k in which] == ["fr"] and share[0] == 1
+
+
+def brute_trigrams(text):
+    """Counts of hashed trigrams: letters in lower case, whatever stands between them one gap, a gap at both ends."""
+    word = (1 << 32) - 1
+
+    def code(a, b, c):
+        h = ((a * 0x9E3779B1 + b) * 0x85EBCA6B + c) & word
+        h = ((h ^ h >> 15) * 0xC2B2AE35) & word
+        return (h ^ h >> 16) >> 32 - langid.BITS
+
+    letters = re.sub(r"\0+", "\0", "".join(c.lower()[0] if c.isalpha() else "\0" for c in text))
+    padded = "\0" + letters + "\0" if letters.strip("\0") else ""
+    out = {}
+    for k in range(len(padded) - 2):
+        h = code(*map(ord, padded[k : k + 3]))
+        out[h] = out.get(h, 0) + 1
+    return out
+
+
+def brute_languages(samples, text):
+    """(language, proportions) by plain dictionaries and loops."""
+    counts = {}
+    for lang, sample in samples:
+        for g, n in brute_trigrams(sample).items():
+            counts.setdefault(lang, {}).setdefault(g, 0)
+            counts[lang][g] += n
+    names, room = sorted(counts), langid.SMOOTHING * 2**langid.BITS
+    total = {k: sum(counts[k].values()) + room for k in names}
+    p = lambda k, g: (counts[k].get(g, 0) + langid.SMOOTHING) / total[k]
+    grams = brute_trigrams(text)
+    if not grams or not names:
+        return "und", {}
+
+    def mixture(langs):
+        share = dict.fromkeys(langs, 1 / len(langs))
+        for _ in range(langid.STEPS):
+            new = dict.fromkeys(langs, 0.0)
+            for g, n in grams.items():
+                whole = sum(p(k, g) * share[k] for k in langs)
+                for k in langs:
+                    new[k] += n * p(k, g) * share[k] / whole
+            share = {k: v / sum(grams.values()) for k, v in new.items()}
+        return share, sum(n * math.log(sum(p(k, g) * share[k] for k in langs)) for g, n in grams.items())
+
+    alone = {k: sum(n * math.log(p(k, g)) for g, n in grams.items()) for k in names}
+    chosen = [max(names, key=lambda k: alone[k])]
+    share, best = {chosen[0]: 1.0}, alone[chosen[0]]
+    everyone, _ = mixture(names)
+    for k in sorted(names, key=lambda k: -everyone[k]):
+        if k not in chosen:
+            more, fit = mixture([*chosen, k])
+            if fit - best <= langid.PENALTY * math.log(sum(grams.values()) + 1):
+                break
+            chosen, share, best = [*chosen, k], more, fit
+    return max(chosen, key=lambda k: share[k]), share
+
+
+def test_language_id_equals_brute_force(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents").where("doc_id < 260 AND length(text) < 2500")
+    all_rows = docs.select("doc_id", "text", "lang").collect()
+    mixed = [(10_000 + k, a.text[:400] + "\n" + b.text[:300], None) for k, (a, b) in enumerate(zip(all_rows[:30], all_rows[30:60], strict=True))]
+    mixed += [(20_000, "1 2 3", None), (20_001, "x", None), (20_002, "", None), (20_003, "ÉTÉ été", None)]
+    rows = spark.createDataFrame([*map(tuple, all_rows), *mixed], "doc_id long, text string, lang string")
+    samples = [(r.lang, r.text) for r in rows.collect() if r.lang and zlib.crc32(str(r.doc_id).encode()) % 4 != 2]
+    texts = {r.doc_id: r.text for r in rows.collect()}
+    got = langid.identify(rows).collect()
+    several = 0
+    for r in got[::4] + got[-40:]:
+        lang, share = brute_languages(samples, texts[r.doc_id])
+        assert (r.lang_pred, set(r.langs)) == (lang, set(share)), r.doc_id
+        assert all(abs(x - share[k]) < 1e-9 for k, x in zip(r.langs, r.shares, strict=True))
+        several += len(share) > 1
+    assert several >= 5
+
+
+def test_no_language_is_too_rare_to_learn(spark):
+    rng = np.random.default_rng(2)
+    alphabet = [chr(c) for c in range(0x4E00, 0x4E00 + 600)]
+    rows = []
+    for k in range(430):
+        own = rng.choice(alphabet, 8)
+        rows += [(k * 10 + i, "".join(rng.choice(own, 60)), f"l{k:03d}") for i in range(3 if k else 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.learn(df)
+    assert len(model.langs) == 430
+    got = langid.predict(df, model).collect()
+    assert sum(r.lang_pred == lang for r, (_, _, lang) in zip(sorted(got, key=lambda r: r.doc_id), rows, strict=True)) >= 0.99 * len(rows)
 
 
 def test_kept_is_what_has_a_language(spark, awkward, nothing):
@@ -158,6 +268,63 @@ def test_quality(spark, awkward, nothing):
     assert {r.score for r in none} == {0.5} and quality.classify(nothing, labels).count() == 0
 
 
+def brute_score(m, text):
+    """Score, lines and good lines of a text by the model: features counted character by character, all labelings tried."""
+    raw = [line.encode() for line in text.split("\n")]
+    kinds, rows = quality.KIND, []
+    for line in raw:
+        n = max(1, len(line))
+        count = lambda k: sum(kinds[c] == k for c in line)  # noqa: B023, E731
+        words = [w for w in re.split(rb"[\t\x0b\x0c\r ]+", line) if w]
+        bags = [sorted(w) for w in words]
+        stops = sum(len(w) > 0 and kinds[w[-1]] >= quality._STOP for w in words)
+        nw = max(1, len(words))
+        rows.append([
+            math.log1p(len(line)), len(words), (count(quality._LOWER) + count(quality._HIGH)) / n, *[count(k) / n for k in (quality._UPPER, quality._DIGIT, quality._STOP, quality._BANG, quality._PIPE, quality._OTHER)],
+            sum(a == b for a, b in zip(bags, bags[1:], strict=False)) / nw, sum(a == b for a, b in zip(bags, bags[2:], strict=False)) / nw, len(line) / nw, stops / nw,
+        ])
+    bins = [[sum(np.float32(x) >= e for e in m.edges[f]) for f, x in enumerate(r)] for r in rows]
+    none = [quality.BINS] * quality.FEATURES
+    u = [
+        m.bias + sum(m.weights[k, f][b[f]] for k, b in enumerate((bins[i], bins[i - 1] if i else none, bins[i + 1] if i + 1 < len(bins) else none)) for f in range(quality.FEATURES))
+        for i in range(len(bins))
+    ]
+    total, good = 0.0, np.zeros(len(u))
+    for code in range(1 << len(u)):
+        y = [code >> k & 1 for k in range(len(u))]
+        w = math.exp(sum(a * b for a, b in zip(u, y, strict=True)) + sum(m.coupling[a, b] for a, b in zip(y, y[1:], strict=False)))
+        total, good = total + w, good + w * np.array(y)
+    good /= total
+    weight = np.array([len(x) + 1.0 for x in raw])
+    mean = min(max(float(good @ weight / weight.sum()), 1e-4), 1 - 1e-4)
+    return 1 / (1 + math.exp(-(m.scale * math.log(mean / (1 - mean)) + m.shift))), len(raw), int((good >= 0.5).sum())
+
+
+def test_quality_equals_brute_force(spark):
+    docs, labels = table(spark, "/root/testdata/sf0.1", "documents").where("doc_id < 2000"), table(spark, "/root/testdata/sf0.1", "labels")
+    model = quality.learn(docs, labels)
+    short = {r.doc_id: "\n".join(r.text.split("\n")[:9]) for r in docs.limit(300).collect()}
+    short |= {-1: "", -2: "\n\n", -3: "word word word\nein Wörtchen! |\t42", -4: " " * 7, -5: "!!!"}
+    got = dict(zip(short, zip(*quality.score_texts(model, [t.encode() for t in short.values()]), strict=True), strict=True))
+    for k, text in short.items():
+        score, lines, good = brute_score(model, text)
+        assert abs(got[k][0] - score) < 1e-9 and tuple(got[k][1:]) == (lines, good), (k, text)
+    whole = spark.createDataFrame(list(short.items()), "doc_id long, text string")
+    # the query scores with a model of its own: learned from no row here, it can't tell
+    assert {r.score for r in quality.classify(whole, labels.limit(0)).collect()} == {0.5}
+
+
+def test_quality_learns_from_a_bounded_number_of_lines(spark, monkeypatch):
+    monkeypatch.setattr(quality, "SAMPLE_LINES", 50)
+    rows = [(i, "\n".join([["Good prose stands here.", "x | y | !!"][i % 2]] * (60 if i == 3 else 5))) for i in range(200)]
+    labels = spark.createDataFrame([(i, 1 - i % 2, 0) for i, _ in rows], "doc_id long, quality int, toxic int")
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda f, length, per_text, label: seen.append((per_text, label)))
+    quality.learn(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    (per_text, label), = seen
+    assert [int(per_text[label == y].sum()) for y in (0, 1)] == [50, 50]
+
+
 def test_forward_backward_equals_enumeration():
     rng = np.random.default_rng(1)
     u, c, per = rng.normal(size=7), rng.normal(size=(2, 2)), np.array([4, 1, 2])
