@@ -24,7 +24,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop each source's boilerplate lines; every document stays, if need be with an empty text."""
-    return line_dedup.dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    cut = line_dedup.without_boilerplate(docs)
+    return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else cut
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +57,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole table, each written to the shared folder and read again."""
+    """All stages over the whole table, each written to the shared folder and read again.
+
+    Null texts go in the first stage; empty texts, which have no letter, too.  Rows that repeat an id are documents of
+    their own till near_dedup, which keeps one row of a group.  Extra columns pass unchanged, whatever their names, up to
+    the last stage.  An empty table gives an empty corpus.  The stages' folders stay for the caller to read or remove.
+    """
     ensure_checkpoint_dir(spark)
     shared = spark.sparkContext._jsc.sc().getCheckpointDir().get()
     docs = table(spark, sf_dir, "documents")
