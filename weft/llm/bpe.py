@@ -30,10 +30,9 @@ from .common import trimmed
 
 #: The byte-level tokenizer's piece pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-MEMO_PIECES = 150_000
-MEMO_WORDS = 100_000
+MEMO_ROOM = 60_000  # entries of each half of the memo
 MEMO_LENGTH = 48
-PAIR_ROOM = 500_000
+PAIR_ROOM = 60_000
 SLICE_BYTES = 4 << 20
 
 ENCODED = T.StructType([
@@ -86,11 +85,10 @@ class Vocabulary:
         self.twin_space = regex.compile(r"\s\s").search
         self.size = [len(t) for t in self.token]
         self.packed = [np.array([i], "<u4").tobytes() for i in self.id_of]
-        self.compatible: dict[tuple[int, int], bool] = {}
+        # what is learned on the way, all of it bounded and dropped by forget()
+        self.compatible: dict[int, bool] = {}  # by left << 32 | right
         self.memo: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-        self.old_words: dict[str, bytes] = {}
         # offsets of the tokens' bytes by id, special tokens included
         by_id = {i: t for i, t in zip(self.id_of, self.token, strict=True)} | {i: s.encode() for s, i in self.special.items()}
         lengths = np.zeros(max(by_id) + 1, np.int64)
@@ -101,7 +99,7 @@ class Vocabulary:
 
     def fits(self, left: int, right: int) -> bool:
         """Whether merging left's and right's bytes would leave the border between the two unmerged."""
-        key = (left, right)
+        key = left << 32 | right
         if (known := self.compatible.get(key)) is not None:
             return known
         bound, result = len(self.token), True
@@ -132,13 +130,13 @@ class Vocabulary:
         found = list(self.automaton.iter(piece[::-1].decode("latin-1")))
         found.reverse()
         longest = dict(found)
-        compatible, fits, size, shorter = self.compatible, self.fits, self.size, self.shorter
+        fits, size, shorter = self.fits, self.size, self.shorter
         out: list[int] = []
         dead: set[int] = set()
         at, token, last = 0, longest.get(n - 1, -1), -1
         while at < n:
             while token >= 0:
-                if last < 0 or (compatible[last, token] if (last, token) in compatible else fits(last, token)):
+                if last < 0 or fits(last, token):
                     if not dead or at + size[token] not in dead:
                         break
                 token = shorter[token]
@@ -155,38 +153,33 @@ class Vocabulary:
                 token = shorter[token]
         return out
 
-    def _ids(self, piece: str) -> bytes:
-        """Ids of one piece of the pattern, kept in the young half of the memo; a full half becomes the old one."""
-        if (out := self.old.get(piece)) is None:
-            pack = self.packed
-            out = b"".join([pack[r] for r in self.encode_piece(piece.encode())])
-        if len(piece) <= MEMO_LENGTH:
-            if len(self.memo) >= MEMO_PIECES:
+    def _ids(self, part: str) -> bytes:
+        """Ids of a word or piece, cut by the pattern; kept in the young half of the memo, a full half becomes the old."""
+        if (out := self.old.get(part)) is None:
+            pieces = self.pieces(part)
+            if len(pieces) == 1:
+                pack = self.packed
+                out = b"".join([pack[r] for r in self.encode_piece(part.encode())])
+            else:
+                memo, ids = self.memo.get, self._ids
+                out = b"".join([memo(p) or ids(p) for p in pieces])
+        if len(part) <= MEMO_LENGTH:
+            if len(self.memo) >= MEMO_ROOM:
                 self.old, self.memo = self.memo, {}
-            self.memo[piece] = out
-        return out
-
-    def _word(self, word: str) -> bytes:
-        """Ids of a word with what stands on it, cut by the pattern; kept like the pieces."""
-        if (out := self.old_words.get(word)) is None:
-            memo, ids = self.memo.get, self._ids
-            out = b"".join([memo(p) or ids(p) for p in self.pieces(word)])
-        if len(word) <= MEMO_LENGTH:
-            if len(self.words) >= MEMO_WORDS:
-                self.old_words, self.words = self.words, {}
-            self.words[word] = out
+            self.memo[part] = out
         return out
 
     def _plain(self, text: str) -> bytes:
         """Ids of a text without special tokens.
 
         A single space between two non-space characters always starts a piece, so words are looked up with the space
-        before them; texts with runs of white space are cut by the pattern alone.
+        before them; texts with runs of white space are cut by the pattern alone.  A piece cut again is itself.
         """
         if self.twin_space(text):
-            memo, ids, parts = self.memo.get, self._ids, self.pieces(text)
+            parts = self.pieces(text)
         else:
-            memo, ids, parts = self.words.get, self._word, text.replace(" ", "\0 ").split("\0") if "\0" not in text else [text]
+            parts = text.replace(" ", "\0 ").split("\0") if "\0" not in text else self.pieces(text)
+        memo, ids = self.memo.get, self._ids
         return b"".join([memo(p) or ids(p) for p in parts])
 
     def encode(self, text: str) -> bytes:
@@ -200,8 +193,8 @@ class Vocabulary:
         return b"".join([*out, self._plain(text[at:])])
 
     def forget(self) -> None:
-        """Drop the memos; the tables stay."""
-        self.memo, self.old, self.words, self.old_words = {}, {}, {}, {}
+        """Drop the memo and the pair table; the vocabulary's own tables stay."""
+        self.memo, self.old, self.compatible = {}, {}, {}
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; ids beyond the vocabulary have no bytes, and broken UTF-8 becomes U+FFFD."""
