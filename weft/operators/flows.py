@@ -11,12 +11,19 @@ from ..options import Options
 from ..schema import CONVERSATION, INTERFACE, WINDOW
 
 
-def dispatch(flows: DataFrame, options: Options = Options()) -> DataFrame:  # noqa: B008
+BLOCK = 64  # windows
+
+
+def dispatch(flows: DataFrame, options: Options = Options(), co_locate: tuple[str, ...] = ()) -> DataFrame:  # noqa: B008
     """Each flow once for every window of its node that it overlaps, with range_start and range_end.
 
     Flows that start before the node's first window are dropped.  A copy further back than ``max_flow_ms`` from the
     flow's end is dropped as well: the sequence starts behind those, so a flow of any length makes a bounded number of
     rows.  A flow that ends in a window before the one it starts in gives none.
+
+    With ``co_locate`` flows are dealt over partitions by these columns and by blocks of BLOCK windows, ``block``,
+    before the copies are made: sums by those keys and the window then need no further exchange, so what is shuffled is
+    flows and not their many copies.  The blocks split a key that has very many flows.
     """
     w = options.window_ms
     start, end = F.col("delta_switched"), F.col("last_switched")
@@ -26,14 +33,19 @@ def dispatch(flows: DataFrame, options: Options = Options()) -> DataFrame:  # no
     skipped = F.when(too_far < 0, F.lit(0).cast("bigint")).otherwise(F.call_function("div", too_far, F.lit(w).cast("bigint")) + 1)
     first, last = window_number(start, shift, w), window_number(end, shift, w)
     # the last copy stands at the flow's end and is never too far back
-    numbers = F.when(last >= first, F.sequence(F.least(first + skipped, last), last))
+    rows = flows.where(start.isNotNull() & end.isNotNull() & (start >= shift))
+    rows = rows.withColumns({"__shift": shift, "__first": F.least(first + skipped, last), "__last": last}).where(last >= first)
+    if co_locate:
+        of = lambda c: F.call_function("div", F.col(c), F.lit(BLOCK).cast("bigint"))
+        rows = rows.withColumn("block", F.explode(F.sequence(of("__first"), of("__last")))).repartition(*co_locate, "block")
+        low, high = F.greatest("__first", F.col("block") * BLOCK), F.least("__last", F.col("block") * BLOCK + (BLOCK - 1))
+    else:
+        low, high = F.col("__first"), F.col("__last")
     return (
-        flows.where(start.isNotNull() & end.isNotNull() & (start >= shift))
-        .withColumn("__shift", shift)
-        .withColumn("__wn", F.explode(numbers))
+        rows.withColumn("__wn", F.explode(F.sequence(low, high)))
         .withColumn("range_start", start_of_number(F.col("__wn"), F.col("__shift"), w))
         .withColumn("range_end", F.col("range_start") + w)
-        .drop("__shift", "__wn")
+        .drop("__shift", "__wn", "__first", "__last")
     )
 
 
@@ -52,31 +64,37 @@ def prorate(dispatched: DataFrame) -> DataFrame:
     return dispatched.withColumn("bytes", upto(to_ms) - upto(from_ms))
 
 
-def keyed(prorated: DataFrame) -> DataFrame:
-    """Conversation keys with DSCP and the aggregated values of single rows; rows without an exporter are dropped."""
-    ordered = F.col("src_address") < F.col("dst_address")
+def conversation_keys(flows: DataFrame) -> DataFrame:
+    """Flows with their conversation's key, host names in the order of its addresses, and flags; none without exporter."""
     text = lambda c: F.coalesce(F.col(c), F.lit(""))
+    ordered = text("src_address") < text("dst_address")
     both = F.coalesce((F.col("foreign_source") != "") & (F.col("foreign_id") != ""), F.lit(False))
-    ingress = F.coalesce(F.col("direction"), F.lit("INGRESS")) == "INGRESS"
-    return (
-        prorated.where(F.col("node_id").isNotNull())
-        .withColumns({c: text(c) for c in ("src_address", "dst_address")})
-        .select(
-            *WINDOW, "node_id", F.when(both, F.col("foreign_source")).alias("foreign_source"), F.when(both, F.col("foreign_id")).alias("foreign_id"),
-            F.coalesce("if_index", F.lit(0)).alias("if_index"), F.coalesce("dscp", F.lit(0)).alias("dscp"),
-            text("location").alias("location"), "protocol",
-            F.when(ordered, F.col("src_address")).otherwise(F.col("dst_address")).alias("address"),
-            F.when(ordered, F.col("dst_address")).otherwise(F.col("src_address")).alias("larger_address"),
-            F.when(text("application") == "", F.lit(UNKNOWN_APPLICATION)).otherwise(F.col("application")).alias("application"),
-            F.when(ingress, F.col("bytes")).otherwise(F.lit(0)).cast("bigint").alias("bytes_in"),
-            F.when(ingress, F.lit(0)).otherwise(F.col("bytes")).cast("bigint").alias("bytes_out"),
-            F.when(ordered, F.col("src_hostname")).otherwise(F.col("dst_hostname")).alias("hostname"),
-            F.when(ordered, F.col("dst_hostname")).otherwise(F.col("src_hostname")).alias("hostname2"),
-            F.coalesce(F.col("ecn") == 3, F.lit(False)).alias("congestion"), (F.coalesce("ecn", F.lit(0)) == 0).alias("non_ect"),
-        )
+    return flows.where(F.col("node_id").isNotNull()).withColumns({
+        "foreign_source": F.when(both, F.col("foreign_source")), "foreign_id": F.when(both, F.col("foreign_id")),
+        "if_index": F.coalesce("if_index", F.lit(0)), "dscp": F.coalesce("dscp", F.lit(0)), "location": text("location"),
+        "address": F.when(ordered, text("src_address")).otherwise(text("dst_address")),
+        "larger_address": F.when(ordered, text("dst_address")).otherwise(text("src_address")),
+        "application": F.when(text("application") == "", F.lit(UNKNOWN_APPLICATION)).otherwise(F.col("application")),
+        "ingress": F.coalesce(F.col("direction"), F.lit("INGRESS")) == "INGRESS",
+        "hostname": F.when(ordered, F.col("src_hostname")).otherwise(F.col("dst_hostname")),
+        "hostname2": F.when(ordered, F.col("dst_hostname")).otherwise(F.col("src_hostname")),
+        "congestion": F.coalesce(F.col("ecn") == 3, F.lit(False)), "non_ect": F.coalesce("ecn", F.lit(0)) == 0,
+    })
+
+
+def _valued(rows: DataFrame, *more: str) -> DataFrame:
+    """Prorated rows of flows with their keys as rows of values."""
+    return rows.select(
+        *WINDOW, *INTERFACE, "dscp", *CONVERSATION, F.when(F.col("ingress"), F.col("bytes")).otherwise(F.lit(0)).cast("bigint").alias("bytes_in"),
+        F.when(F.col("ingress"), F.lit(0)).otherwise(F.col("bytes")).cast("bigint").alias("bytes_out"), "hostname", "hostname2", "congestion", "non_ect", *more,
     )
 
 
+def keyed(prorated: DataFrame) -> DataFrame:
+    """Conversation keys with DSCP and the aggregated values of single rows; rows without an exporter are dropped."""
+    return _valued(conversation_keys(prorated))
+
+
 def summed(rows: DataFrame, keys: tuple[str, ...], named: bool = True) -> DataFrame:
     """Bytes added, flags joined by or, host names the least that is not empty, or null unless ``named``.
 
@@ -94,6 +112,15 @@ def unnamed(rows: DataFrame) -> DataFrame:
     return rows.withColumns({c: F.lit(None).cast("string") for c in ("hostname", "hostname2")})
 
 
+def conversation_rows(flows: DataFrame, options: Options = Options()) -> DataFrame:  # noqa: B008
+    """Prorated rows of conversations, with their block of windows: what all sums derive from.
+
+    Flows go through one exchange, before they are copied to their windows; sums by conversation, with DSCP or without,
+    are made where the rows are from there on.
+    """
+    return _valued(prorate(dispatch(conversation_keys(flows), options, co_locate=(*INTERFACE, *CONVERSATION))), "block")
+
+
 def conversation_sums(flows: DataFrame, options: Options = Options()) -> DataFrame:  # noqa: B008
-    """The finest sums, from which all others derive."""
-    return summed(keyed(prorate(dispatch(flows, options))), (*WINDOW, *INTERFACE, "dscp", *CONVERSATION))
+    """The finest sums, one row a window, interface, DSCP and conversation."""
+    return summed(conversation_rows(flows, options), (*WINDOW, *INTERFACE, "dscp", *CONVERSATION, "block")).drop("block")

@@ -1,11 +1,16 @@
-"""The eight groupings: totals for interfaces and DSCPs, top k below them for applications, hosts, conversations."""
+"""The eight groupings: totals for interfaces and DSCPs, top k below them for applications, hosts, conversations.
+
+Groupings of one kind are worked out together: a conversation row becomes one row for each of them, marked with its
+name, and one aggregation and one ranking serve them all.  So there are three branches (applications with the totals,
+hosts, conversations), which share the exchange of the flows.
+"""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.names import grouped_by_key
@@ -61,49 +66,70 @@ def complete(conversations: DataFrame) -> DataFrame:
     )
 
 
+def _family(name: str) -> str:
+    return next((f for f in ("HOST", "CONVERSATION") if name.endswith(f)), "APPLICATION")
+
+
+def _family_sums(conversations: DataFrame, names: list[str]) -> DataFrame:
+    """Sums of groupings of one family: grouped_by, the keys that apply (null for others) and the values."""
+    family = _family(names[0])
+    rows = hosts(conversations) if family == "HOST" else conversations
+    own = {"HOST": ("address",), "CONVERSATION": CONVERSATION, "APPLICATION": ("application",)}[family]
+    changing = ("dscp", *(c for c in own if any(c not in GROUPINGS[n].keys for n in names)))
+    kinds = dict(rows.select(*changing).dtypes)
+    mark = lambda n: F.struct(
+        F.lit(n).alias("grouped_by"), *[(F.col(c) if c in GROUPINGS[n].keys else F.lit(None).cast(kinds[c])).alias(c) for c in changing]
+    )
+    rows = rows.withColumn("__m", F.explode(F.array(*map(mark, names))) if len(names) > 1 else mark(names[0]))
+    rows = rows.withColumns({c: F.col("__m")[c] for c in ("grouped_by", *changing)}).drop("__m")
+    block = [c for c in ("block",) if c in rows.columns and family == "CONVERSATION"]  # lets conversations stay where they are
+    return summed(rows, (*WINDOW, *INTERFACE, *block, "grouped_by", "dscp", *own), named=family == "HOST").drop(*block)
+
+
 def sums(conversations: DataFrame) -> dict[str, DataFrame]:
-    """The sums of every grouping, each from the next finer one, before any pruning.
+    """The sums of every grouping by itself, before any pruning.  Only host rows keep host names, as only they show them.
 
-    All start from the same aggregated exchange, which Spark reuses.  Only host rows keep host names, as only they show
-    them.
+    ``conversations`` are sums by conversation and DSCP, or parts of such sums.
     """
-    keys = {name: (*WINDOW, *g.keys) for name, g in GROUPINGS.items()}
+    return {name: _family_sums(conversations, [name]).select(*WINDOW, *g.keys, *VALUES) for name, g in GROUPINGS.items()}
 
-    def of(rows: DataFrame, name: str) -> DataFrame:
-        return summed(rows, keys[f"EXPORTER_INTERFACE{name}"], named=name.endswith("HOST"))
 
-    apps_tos = of(applications(conversations), "_TOS_APPLICATION")
-    hosts_tos = of(hosts(conversations), "_TOS_HOST")
-    tos = of(apps_tos, "_TOS")
-    found = {
-        "": of(tos, ""), "_TOS": tos, "_APPLICATION": of(apps_tos, "_APPLICATION"), "_HOST": of(hosts_tos, "_HOST"),
-        "_CONVERSATION": of(conversations, "_CONVERSATION"), "_TOS_APPLICATION": apps_tos, "_TOS_HOST": hosts_tos,
-        "_TOS_CONVERSATION": unnamed(conversations),
-    }
-    return {f"EXPORTER_INTERFACE{k}": v for k, v in found.items()}
+def _display_key(names: list[str]) -> Column:
+    keys = {n: grouped_by_key(GROUPINGS[n].dims) for n in names}
+    out = keys[names[-1]]
+    for n in names[:-1]:
+        out = F.when(F.col("grouped_by") == n, keys[n]).otherwise(out)
+    return out
 
 
-def top_k(rows: DataFrame, grouping: Grouping, k: int) -> DataFrame:
-    """The k rows of most bytes for each window and parent; ties go to the lesser display key.
+def _best(rows: DataFrame, parent: tuple[str, ...], key: Column, k: int) -> DataFrame:
+    """The k rows of most bytes for each window and parent, with ``grouped_by_key``; ties go to the lesser display key.
 
-    The rank limit is applied on each partition before the shuffle, so a parent with very many rows sends few.
+    Rows are cut by their bytes first, on each partition before the shuffle, so a parent with very many rows sends few,
+    and display keys are made for what is left only.
     """
-    order = [F.desc(F.col("bytes_in") + F.col("bytes_out")), F.asc("grouped_by_key")]
-    ranked = rows.withColumn("grouped_by_key", grouped_by_key(grouping.dims))
-    by_parent = Window.partitionBy(*WINDOW, *grouping.parent).orderBy(*order)
-    return ranked.withColumn("__rank", F.row_number().over(by_parent)).where(F.col("__rank") <= k).drop("__rank")
+    by_bytes = Window.partitionBy(*WINDOW, *parent).orderBy(F.desc(F.col("bytes_in") + F.col("bytes_out")))
+    ahead = rows.withColumn("__rank", F.rank().over(by_bytes)).where(F.col("__rank") <= k).withColumn("grouped_by_key", key)
+    by_key = Window.partitionBy(*WINDOW, *parent).orderBy("__rank", "grouped_by_key")
+    return ahead.withColumn("__rank", F.row_number().over(by_key)).where(F.col("__rank") <= k).drop("__rank")
+
+
+def top_k(rows: DataFrame, grouping: Grouping, k: int) -> DataFrame:
+    """The k rows of most bytes of one grouping for each window and parent."""
+    return _best(rows, grouping.parent, grouped_by_key(grouping.dims), k)
 
 
 def summarize(conversations: DataFrame, k: int, names: tuple[str, ...] = tuple(GROUPINGS)) -> DataFrame:
     """The groupings' rows in one table: grouped_by, the key columns that apply, the values and the display key."""
-    all_sums, parts = sums(conversations), []
+    families: dict[str, list[str]] = {}
     for name in names:
-        g = GROUPINGS[name]
-        rows = complete(all_sums[name]) if name.endswith("CONVERSATION") else all_sums[name]
-        rows = rows.withColumn("grouped_by_key", grouped_by_key(g.dims)) if g.total else top_k(rows, g, k)
-        parts.append(rows.withColumn("grouped_by", F.lit(name)))
-    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        families.setdefault(_family(name), []).append(name)
     columns = [*WINDOW, "grouped_by", *INTERFACE, "dscp", *CONVERSATION, *VALUES, "grouped_by_key"]
-    kinds = {"dscp": "int", "protocol": "int"}
-    missing = {c: F.lit(None).cast(kinds.get(c, "string")) for c in columns if c not in out.columns}
-    return out.withColumns(missing).select(*columns) if missing else out.select(*columns)
+    kinds, parts = {"dscp": "int", "protocol": "int"}, []
+    for family, members in families.items():
+        rows = _family_sums(complete(conversations) if family == "CONVERSATION" else conversations, members)
+        # a total is the only row of its window and parent, whatever k
+        rows = _best(rows, (*INTERFACE, "grouped_by", "dscp"), _display_key(members), k)
+        missing = {c: F.lit(None).cast(kinds.get(c, "string")) for c in columns if c not in rows.columns}
+        parts.append((rows.withColumns(missing) if missing else rows).select(*columns))
+    return reduce(DataFrame.unionByName, parts)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,27 +36,35 @@ def metric_name() -> Column:
 def labels(direction: Column, pane: Column, fixed: dict[str, str]) -> Column:
     """Labels that apply to the row's grouping; a null value is no label."""
     by = F.col("grouped_by")
-    total = by.isin("EXPORTER_INTERFACE", "EXPORTER_INTERFACE_TOS")
-    conversation = by.endswith("CONVERSATION")
-    ends = conversation | by.endswith("HOST")
     text = lambda c: F.col(c).cast("string")
+    always = lambda name: True
+    ends = lambda *suffixes: lambda name: name.endswith(suffixes)
+    total = lambda name: name in ("EXPORTER_INTERFACE", "EXPORTER_INTERFACE_TOS")
     pairs = [
-        *[(k, F.lit(v)) for k, v in fixed.items()],
-        ("pane", pane.cast("string")), ("direction", direction),
-        ("nodeId", F.when(total, text("node_id"))), ("ifIndex", F.when(total, text("if_index"))), ("dscp", F.when(by.contains("TOS"), text("dscp"))),
-        ("location", F.when(conversation, text("location"))), ("protocol", F.when(conversation, text("protocol"))),
-        ("host", F.when(ends, text("address"))), ("host2", F.when(conversation, text("larger_address"))),
-        ("application", F.when(conversation | by.endswith("APPLICATION"), text("application"))),
+        *[(k, F.lit(v), always) for k, v in fixed.items()], ("pane", pane.cast("string"), always), ("direction", direction, always),
+        ("nodeId", text("node_id"), total), ("ifIndex", text("if_index"), total), ("dscp", text("dscp"), lambda name: "TOS" in name),
+        ("location", text("location"), ends("CONVERSATION")), ("protocol", text("protocol"), ends("CONVERSATION")),
+        ("host", text("address"), ends("CONVERSATION", "HOST")), ("host2", text("larger_address"), ends("CONVERSATION")),
+        ("application", text("application"), ends("CONVERSATION", "APPLICATION")),
     ]
-    entries = F.array(*[F.struct(sanitize_label(F.lit(k)).alias("k"), v.alias("v")) for k, v in pairs])
-    return F.map_from_entries(F.filter(entries, lambda e: e["v"].isNotNull()))
+
+    def mapped(name: str) -> Column:
+        own = [(sanitize_label(F.lit(k)), v) for k, v, applies in pairs if applies(name)]
+        whole = F.create_map(*[x for pair in own for x in pair])
+        complete = reduce(Column.__and__, [v.isNotNull() for _, v in own])
+        return F.when(complete, whole).otherwise(F.map_filter(whole, lambda _, v: v.isNotNull()))
+
+    out = F.lit(None).cast("map<string,string>")
+    for name in METRICS:
+        out = F.when(by == name, mapped(name)).otherwise(out)
+    return out
 
 
 def samples(rows: DataFrame, *, pane: Column | None = None, fixed: dict[str, str] | None = None, metric: str | None = None) -> DataFrame:
     """(metric, labels, ts_ms, value): two samples a row, at the last millisecond of its range."""
     name = sanitize_metric(F.lit(metric)) if metric else metric_name()
     both = F.array(*[F.struct(F.lit(d).alias("direction"), F.col(c).cast("double").alias("value")) for d, c in (("in", "bytes_in"), ("out", "bytes_out"))])
-    return rows.withColumn("__s", F.explode(both)).select(
-        name.alias("metric"), labels(F.col("__s.direction"), F.lit(0) if pane is None else pane, fixed or {}).alias("labels"),
+    return rows.withColumn("__metric", name).withColumn("__s", F.explode(both)).select(
+        F.col("__metric").alias("metric"), labels(F.col("__s.direction"), F.lit(0) if pane is None else pane, fixed or {}).alias("labels"),
         (F.col("range_end") - 1).alias("ts_ms"), F.col("__s.value").alias("value"),
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import conversation_key, index_name
-from ..operators.flows import conversation_sums
+from ..operators.flows import conversation_rows
 from ..operators.lattice import GROUPINGS, summarize
 from ..options import Options
 
@@ -14,7 +14,7 @@ TOTALS = [n for n, g in GROUPINGS.items() if g.total]
 
 
 def summaries(flows: DataFrame, options: Options = Options()) -> DataFrame:  # noqa: B008
-    return summarize(conversation_sums(flows, options), options.top_k)
+    return summarize(conversation_rows(flows, options), options.top_k)
 
 
 def documents(rows: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .functions.ip import in_ranges, parse_host_filter
 from .functions.names import conversation_key, grouped_by_key, index_name, sanitize_label, sanitize_metric
 from .functions.windows import node_shift, window_number, window_start
-from .operators.flows import conversation_sums, dispatch, keyed, prorate, summed
+from .operators.flows import conversation_rows, conversation_sums, dispatch, keyed, prorate, summed
 from .operators.lattice import GROUPINGS, applications, complete, hosts, summarize, sums, top_k
 from .options import Options
 from .plans.series import considered, samples
@@ -37,11 +37,15 @@ def _conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_sums(flows(spark, sf_dir), OPTIONS)
 
 
+def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_rows(flows(spark, sf_dir), OPTIONS)
+
+
 def _grouped(name: str, pruned: bool) -> Query:
     g = GROUPINGS[name]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = sums(_conversations(spark, sf_dir))[name]
+        rows = sums(_rows(spark, sf_dir))[name]
         if pruned:
             rows = top_k(complete(rows) if name.endswith("CONVERSATION") else rows, g, OPTIONS.top_k)
         else:
@@ -98,7 +102,7 @@ def conv_tos_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def itf_total_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Interface totals on the events' own clock."""
-    rows = sums(conversation_sums(flows(spark, sf_dir, dense=False), OPTIONS))["EXPORTER_INTERFACE"]
+    rows = sums(conversation_rows(flows(spark, sf_dir, dense=False), OPTIONS))["EXPORTER_INTERFACE"]
     return rows.select(*WINDOW, *INTERFACE, "bytes_in", "bytes_out")
 
 
@@ -118,7 +122,7 @@ def flow_summary_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def summary_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Index and JSON text of the interface totals' documents."""
-    rows = summarize(_conversations(spark, sf_dir), OPTIONS.top_k, ("EXPORTER_INTERFACE", "EXPORTER_INTERFACE_TOS"))
+    rows = summarize(_rows(spark, sf_dir), OPTIONS.top_k, ("EXPORTER_INTERFACE", "EXPORTER_INTERFACE_TOS"))
     return json_documents(documents(rows), OPTIONS)
 
 
@@ -160,7 +164,7 @@ def conversation_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def complete_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = complete(sums(_conversations(spark, sf_dir))["EXPORTER_INTERFACE_CONVERSATION"])
+    rows = complete(sums(_rows(spark, sf_dir))["EXPORTER_INTERFACE_CONVERSATION"])
     return rows.groupBy(*INTERFACE).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("bytes_in") + F.col("bytes_out")).alias("bytes_total"))
 
 

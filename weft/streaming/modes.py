@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from ..operators.flows import conversation_sums, dispatch, keyed, prorate, summed
+from ..operators.flows import conversation_rows, dispatch, keyed, prorate, summed
 from ..operators.lattice import summarize
 from ..options import Options
 from ..schema import CONVERSATION, INTERFACE, WINDOW
@@ -64,7 +64,7 @@ def run_panes(flows: DataFrame, sink: Sink, options: Options = Options()) -> Dat
                 batch_rows = batch.where(F.col("last_switched") + options.window_ms > floor)
             else:
                 batch_rows = batch
-            sink(summarize(conversation_sums(batch_rows, options), options.top_k).withColumn("pane", F.lit(batch_id)), batch_id)
+            sink(summarize(conversation_rows(batch_rows, options), options.top_k).withColumn("pane", F.lit(batch_id)), batch_id)
             seen = batch.agg(F.max("last_switched")).first()[0]
             latest[0] = max(x for x in (latest[0], seen) if x is not None) if seen is not None or latest[0] is not None else None
         finally:
