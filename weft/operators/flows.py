@@ -90,9 +90,9 @@ def _valued(rows: DataFrame, *more: str) -> DataFrame:
     )
 
 
-def keyed(prorated: DataFrame) -> DataFrame:
+def keyed(prorated: DataFrame, *more: str) -> DataFrame:
     """Conversation keys with DSCP and the aggregated values of single rows; rows without an exporter are dropped."""
-    return _valued(conversation_keys(prorated))
+    return _valued(conversation_keys(prorated), *more)
 
 
 def summed(rows: DataFrame, keys: tuple[str, ...], named: bool = True) -> DataFrame:

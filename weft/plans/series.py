@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,28 +34,16 @@ def metric_name() -> Column:
 def labels(direction: Column, pane: Column, fixed: dict[str, str]) -> Column:
     """Labels that apply to the row's grouping; a null value is no label."""
     by = F.col("grouped_by")
-    text = lambda c: F.col(c).cast("string")
-    always = lambda name: True
-    ends = lambda *suffixes: lambda name: name.endswith(suffixes)
-    total = lambda name: name in ("EXPORTER_INTERFACE", "EXPORTER_INTERFACE_TOS")
+    conversation, tos, total = by.endswith("CONVERSATION"), by.contains("TOS"), by.isin("EXPORTER_INTERFACE", "EXPORTER_INTERFACE_TOS")
+    text = lambda c, when: F.when(when, F.col(c).cast("string"))
     pairs = [
-        *[(k, F.lit(v), always) for k, v in fixed.items()], ("pane", pane.cast("string"), always), ("direction", direction, always),
-        ("nodeId", text("node_id"), total), ("ifIndex", text("if_index"), total), ("dscp", text("dscp"), lambda name: "TOS" in name),
-        ("location", text("location"), ends("CONVERSATION")), ("protocol", text("protocol"), ends("CONVERSATION")),
-        ("host", text("address"), ends("CONVERSATION", "HOST")), ("host2", text("larger_address"), ends("CONVERSATION")),
-        ("application", text("application"), ends("CONVERSATION", "APPLICATION")),
+        *[(k, F.lit(v)) for k, v in fixed.items()], ("pane", pane.cast("string")), ("direction", direction),
+        ("nodeId", text("node_id", total)), ("ifIndex", text("if_index", total)), ("dscp", text("dscp", tos)),
+        ("location", text("location", conversation)), ("protocol", text("protocol", conversation)),
+        ("host", text("address", conversation | by.endswith("HOST"))), ("host2", text("larger_address", conversation)),
+        ("application", text("application", conversation | by.endswith("APPLICATION"))),
     ]
-
-    def mapped(name: str) -> Column:
-        own = [(sanitize_label(F.lit(k)), v) for k, v, applies in pairs if applies(name)]
-        whole = F.create_map(*[x for pair in own for x in pair])
-        complete = reduce(Column.__and__, [v.isNotNull() for _, v in own])
-        return F.when(complete, whole).otherwise(F.map_filter(whole, lambda _, v: v.isNotNull()))
-
-    out = F.lit(None).cast("map<string,string>")
-    for name in METRICS:
-        out = F.when(by == name, mapped(name)).otherwise(out)
-    return out
+    return F.map_filter(F.create_map(*[x for k, v in pairs for x in (sanitize_label(F.lit(k)), v)]), lambda _, v: v.isNotNull())
 
 
 def samples(rows: DataFrame, *, pane: Column | None = None, fixed: dict[str, str] | None = None, metric: str | None = None) -> DataFrame:

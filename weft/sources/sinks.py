@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import base64
 import json
+import logging
 import time
 import urllib.error
 import urllib.request
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..options import Options
@@ -20,6 +22,12 @@ from .protobuf import varint
 Post = Callable[[str, bytes, dict[str, str], float], int]
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path of any file system that Spark reaches is there."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def http_post(url: str, body: bytes, headers: dict[str, str], timeout_s: float) -> int:
     request = urllib.request.Request(url, body, headers)
     try:
@@ -46,27 +54,36 @@ def write_elastic(documents: DataFrame, options: Options, post: Post = http_post
     if options.elastic_user:
         token = base64.b64encode(f"{options.elastic_user}:{options.elastic_password}".encode()).decode()
         headers["Authorization"] = f"Basic {token}"
-    tries, pause, timeout = max(1, options.elastic_retry_count), options.elastic_retry_ms / 1000, options.elastic_socket_timeout_ms / 1000
+    # one timeout serves connecting and reading: the longer of the two
+    timeout = max(options.elastic_socket_timeout_ms, options.elastic_connect_timeout_ms) / 1000
+    tries, pause = max(1, options.elastic_retry_count), options.elastic_retry_ms / 1000
 
     def send(rows) -> None:
         def flush(held: list) -> None:
             for attempt in range(tries):
-                status = post(url, bulk_body(held), headers, timeout)
-                if status < 300:
-                    return
+                try:
+                    status = post(url, bulk_body(held), headers, timeout)
+                    if status < 300:
+                        return
+                    failure = f"status {status}"
+                except OSError as e:
+                    failure = str(e)
                 time.sleep(min(pause, 2**attempt) if attempt + 1 < tries else 0)
-            raise RuntimeError(f"bulk request failed with status {status}")
-
-        held = []
-        for r in rows:
-            held.append((r["index"], r["document"]))
-            if len(held) == batch:
-                flush(held)
-                held = []
+            raise RuntimeError(f"bulk request failed: {failure}")
+
+        held: list = []
+        for part in rows:
+            for pair in zip(part["index"].to_pylist(), part["document"].to_pylist(), strict=True):
+                held.append(pair)
+                if len(held) == batch:
+                    flush(held)
+                    held = []
         if held:
             flush(held)
+        yield from ()
 
-    documents.foreachPartition(send)
+    # a query like any other, so that what is observed in it is reported
+    documents.select("index", "document").mapInArrow(send, "n bigint").write.format("noop").mode("overwrite").save()
 
 
 def kafka_records(documents: DataFrame) -> DataFrame:
@@ -114,6 +131,9 @@ def batches(series: Iterator[bytes], most: int, most_bytes: int) -> Iterator[lis
         yield held
 
 
+LOG = logging.getLogger(__name__)
+
+
 @dataclass
 class WriteCounts:
     writes: int = 0
@@ -135,26 +155,37 @@ def post_series(series: Iterator[bytes], options: Options, post: Post = http_pos
             status = post(options.remote_write_url, snappy_block(write_request(batch)), headers, 30.0)
             if status >= 300:
                 counts.response_failures[status] = counts.response_failures.get(status, 0) + 1
-        except OSError:
+                LOG.warning("write of %d series was answered with status %d", len(batch), status)
+        except Exception as e:  # whatever the transport raises: a failed write never fails the job
             counts.write_failures += 1
+            LOG.warning("write of %d series failed: %s", len(batch), e)
     return counts
 
 
 def write_series(samples: DataFrame, options: Options, post: Post = http_post) -> dict[str, int]:
-    """Samples to the remote-write endpoint, each series in one partition and in order of time; returns the counts."""
-    sc = samples.sparkSession.sparkContext
-    totals = {k: sc.accumulator(0) for k in ("writes", "samples", "write_failures", "response_failures")}
+    """Samples to the remote-write endpoint, each series in one partition and in order of time; returns the counts.
 
-    def send(rows) -> None:
-        series = (encode_series(r["metric"], dict(r["labels"]), [(r["value"], r["ts_ms"])]) for r in rows)
-        c = post_series(series, options, post)
-        for k, v in (("writes", c.writes), ("samples", c.samples), ("write_failures", c.write_failures), ("response_failures", sum(c.response_failures.values()))):
-            totals[k].add(v)
+    Failed responses are also counted by the hundreds of their status.  A task that is repeated after a loss sends its
+    samples again, which the endpoint takes as the same; counts are those of the attempts that ended.
+    """
+    names = ["writes", "samples", "write_failures", "response_failures", "response_failures_4xx", "response_failures_5xx"]
+
+    def send(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def series() -> Iterator[bytes]:
+            for part in rows:
+                for metric, labels, ts, value in zip(*(part[c].to_pylist() for c in ("metric", "labels", "ts_ms", "value")), strict=True):
+                    yield encode_series(metric, dict(labels), [(value, ts)])
+
+        c = post_series(series(), options, post)
+        of = lambda lo, hi: sum(n for status, n in c.response_failures.items() if lo <= status < hi)
+        out = (c.writes, c.samples, c.write_failures, of(0, 1000), of(400, 500), of(500, 600))
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()) for n in out], names)
 
     key = F.to_json("labels")
     ordered = samples.withColumn("__key", key).repartition("metric", "__key").sortWithinPartitions("metric", "__key", "ts_ms").drop("__key")
-    ordered.foreachPartition(send)
-    return {k: a.value for k, a in totals.items()}
+    sent = ordered.select("metric", "labels", "ts_ms", "value").mapInArrow(send, ", ".join(f"{n} bigint" for n in names))
+    row = sent.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names]).first()
+    return row.asDict()
 
 
 def discard(rows: DataFrame) -> None:

@@ -63,11 +63,20 @@ def uniform_in_window_ends(config: FlowConfig) -> Column:
 
 
 def synthetic_flows(spark: SparkSession, n: int, config: FlowConfig = FlowConfig(), *, ends: Column | None = None, of: int = 1, part: int = 0) -> DataFrame:  # noqa: B008
-    """Flows 0 to n - 1, or every ``of``-th from ``part``: ends near their place, exponential durations, bytes that
-    fall off with the numbers of application and hosts.
+    """Flows 0 to n - 1, or every ``of``-th from ``part``."""
+    return flows_of(spark.range(part, n, of).withColumnRenamed("id", "idx"), config, ends=ends)
+
+
+def current_time_ends() -> Column:
+    """Ends at the time of processing."""
+    return F.unix_millis(F.current_timestamp())
+
+
+def flows_of(indexes: DataFrame, config: FlowConfig = FlowConfig(), *, ends: Column | None = None) -> DataFrame:  # noqa: B008
+    """The flows of rows (idx), of a batch or a stream: ends near their place, exponential durations, bytes that fall off
+    with the numbers of application and hosts.
     """
-    rows = spark.range(part, n, of).withColumnRenamed("id", "idx")
-    rows = rows.withColumns({
+    rows = indexes.withColumns({
         "node_id": _pick(config, 1, config.exporters) + config.min_exporter, "if_index": _pick(config, 2, config.interfaces) + config.min_interface,
         "protocol": _pick(config, 3, config.protocols), "__app": _pick(config, 4, config.applications),
         "__src": _pick(config, 5, config.hosts), "__dst": _pick(config, 6, config.hosts), "ecn": _pick(config, 7, config.ecns), "dscp": _pick(config, 8, config.dscps),

@@ -1,8 +1,9 @@
 """Streaming runs of the summary plan.
 
-``final``: one row a window and key, once the watermark has passed.  ``panes``: every micro-batch reports what it saw,
-and consumers add up.  In both the groupings are computed by the batch plan inside ``foreachBatch``, since rankings are
-not allowed on streams.
+``final``: one row a window and key, once the watermark has passed.  ``triggered``: panes on time, and early and late
+ones after delays, each with what came since the pane before.  ``panes``: every micro-batch reports what it saw, without
+keyed state.  Consumers add up panes.  The groupings are computed by the batch plan inside ``foreachBatch``, since
+rankings are not allowed on streams.
 """
 
 from __future__ import annotations
@@ -17,6 +18,9 @@ from ..operators.flows import conversation_rows, dispatch, keyed, prorate, summe
 from ..operators.lattice import summarize
 from ..options import Options
 from ..schema import CONVERSATION, INTERFACE, WINDOW
+from ..sources.flows import event_time
+from ..sources.sinks import path_exists
+from .state import triggered
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -36,8 +40,8 @@ def final_sums(flows: DataFrame, options: Options = Options(), *, cap_now: bool
     return summed(rows, ("range_end_ts", *WINDOW, *INTERFACE, "dscp", *CONVERSATION)).drop("range_end_ts")
 
 
-def run_final(flows: DataFrame, sink: Sink, options: Options = Options()) -> DataStreamWriter:  # noqa: B008
-    """All rows of a window come in one micro-batch, so rankings there are exact."""
+def run_final(flows: DataFrame, sink: Sink, options: Options = Options(), *, cap_now: bool = False) -> DataStreamWriter:  # noqa: B008
+    """All rows of a window come in one micro-batch, so rankings there are exact.  Later rows are dropped."""
 
     def emit(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
@@ -46,27 +50,62 @@ def run_final(flows: DataFrame, sink: Sink, options: Options = Options()) -> Dat
         finally:
             batch.unpersist()
 
-    return final_sums(flows, options).writeStream.outputMode("append").foreachBatch(emit)
+    return final_sums(flows, options, cap_now=cap_now).writeStream.outputMode("append").foreachBatch(emit)
 
 
-def run_panes(flows: DataFrame, sink: Sink, options: Options = Options()) -> DataStreamWriter:  # noqa: B008
+def pane_sums(flows: DataFrame, options: Options = Options()) -> DataFrame:  # noqa: B008
+    """Conversation sums of a stream in panes: ``pane`` is EARLY, ON_TIME or LATE, ``number`` counts those of a key.
+
+    The watermark trails the latest end of a flow, capped at now, by the input delay.
+    """
+    timed = event_time(flows).withWatermark("event_time", f"{options.max_input_delay_ms} milliseconds")
+    rows = keyed(prorate(dispatch(timed, options)), "event_time")
+    return triggered(rows, options.early_delay_ms, options.late_delay_ms, options.allowed_lateness_ms)
+
+
+def run_triggered(flows: DataFrame, sink: Sink, options: Options = Options()) -> DataStreamWriter:  # noqa: B008
+    """Rankings are among the rows of a micro-batch that fire for the same window and kind of pane."""
+
+    def emit(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            for pane in ("EARLY", "ON_TIME", "LATE"):
+                rows = batch.where(F.col("pane") == pane)
+                if rows.take(1):
+                    sink(summarize(rows.drop("pane", "number"), options.top_k).withColumn("pane", F.lit(pane)), batch_id)
+        finally:
+            batch.unpersist()
+
+    return pane_sums(flows, options).writeStream.outputMode("append").foreachBatch(emit)
+
+
+def run_panes(flows: DataFrame, sink: Sink, options: Options = Options(), floor_path: str | None = None) -> DataStreamWriter:  # noqa: B008
     """Discarding panes: each micro-batch's own sums and top k; flows beyond the allowed lateness are dropped.
 
-    The lateness is judged against the latest end seen in earlier micro-batches, so a restarted run starts anew.
+    The lateness is judged against the latest end seen in earlier micro-batches.  That end is kept in a table at
+    ``floor_path``, for a restarted run to go on with; without a path a restarted run starts anew.
     """
-    latest = [None]
+    spark = flows.sparkSession
+    latest: dict[int, int | None] = {}
+
+    def before(batch_id: int) -> int | None:
+        if latest or not floor_path or not path_exists(spark, floor_path):
+            return latest.get(batch_id - 1)
+        return spark.read.schema("seen bigint, batch bigint").parquet(floor_path).where(F.col("batch") < batch_id).agg(F.max("seen")).first()[0]
 
     def emit(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            if latest[0] is not None:
-                floor = latest[0] - options.max_input_delay_ms - options.allowed_lateness_ms
-                batch_rows = batch.where(F.col("last_switched") + options.window_ms > floor)
-            else:
-                batch_rows = batch
-            sink(summarize(conversation_rows(batch_rows, options), options.top_k).withColumn("pane", F.lit(batch_id)), batch_id)
-            seen = batch.agg(F.max("last_switched")).first()[0]
-            latest[0] = max(x for x in (latest[0], seen) if x is not None) if seen is not None or latest[0] is not None else None
+            old = before(batch_id)
+            floor = None if old is None else old - options.max_input_delay_ms - options.allowed_lateness_ms
+            rows = batch if floor is None else batch.where(F.col("last_switched") + options.window_ms > floor)
+            sink(summarize(conversation_rows(rows, options), options.top_k).withColumn("pane", F.lit(batch_id)), batch_id)
+            seen = batch.agg(F.max(F.least("last_switched", F.unix_millis(F.current_timestamp())))).first()[0]
+            latest.clear()
+            latest[batch_id] = max((x for x in (old, seen) if x is not None), default=None)
+            if floor_path and latest[batch_id] is not None:
+                kept = spark.createDataFrame([(latest[batch_id], batch_id)], "seen bigint, batch bigint")
+                kept.coalesce(1).write.mode("overwrite").parquet(f"{floor_path}/at={batch_id % 2}")  # the batch before stays
         finally:
             batch.unpersist()
 
