@@ -333,6 +333,8 @@ def test_keys_with_many_rows_meet_their_class(spark, monkeypatch):
     assert max(r.n for r in classes.collect()) > 256 > min(r.n for r in classes.collect())
     got = by_class(rows, classes, ["k"], "n")
     assert sorted(map(str, got.select("k", "id", "n").collect())) == expected
+    inner = by_class(rows, classes, ["k"], "n", "inner").select("k", "id", "n")
+    assert sorted(map(str, inner.collect())) == sorted(map(str, rows.join(classes, "k").collect()))
 
 
 def test_lowest_by_hash_is_a_sample_of_each_group(spark):

@@ -273,8 +273,8 @@ def _buckets(classes: DataFrame) -> DataFrame:
     out = None
     level = classes.select("rep", F.explode(F.array_distinct(F.transform("chains", _field("p0")))).alias("path"))
     for d in range(DEPTH):
-        counts = level.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        members = checkpointed(level.join(counts, "path"))
+        counts = checkpointed(level.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+        members = checkpointed(by_class(level, counts, ["path"], "n", "inner").select("path", "n", "rep"))
         done = members if d == DEPTH - 1 else members.where(F.col("n") <= LIMIT)
         out = done if out is None else out.unionByName(done)
         if d < DEPTH - 1:

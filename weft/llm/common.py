@@ -58,8 +58,8 @@ def partitions_for(rows: int, per_partition: int, spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_partition))
 
 
-def by_class(rows: DataFrame, classes: DataFrame, keys: list[str], count: str) -> DataFrame:
-    """``rows`` left-joined with ``classes``, one row a key with the number of rows it has in ``count``.
+def by_class(rows: DataFrame, classes: DataFrame, keys: list[str], count: str, how: str = "left") -> DataFrame:
+    """``rows`` joined with ``classes``, one row a key with the number of rows it has in ``count``; ``how``: left or inner.
 
     Keys with more than one in HOT_KEYS of all rows (HOT_ROWS at least) are fewer than HOT_KEYS, whatever the input, so
     they are broadcast; the rest is shuffled, and no key there gathers more than that share in a task.
@@ -67,9 +67,9 @@ def by_class(rows: DataFrame, classes: DataFrame, keys: list[str], count: str) -
     total, most = classes.agg(F.sum(count), F.max(count)).first()
     at = max(HOT_ROWS, (total or 0) // HOT_KEYS)
     if (most or 0) <= at:
-        return rows.join(classes, keys, "left")
+        return rows.join(classes, keys, how)
     hot = classes.where(F.col(count) > at)
-    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(classes.where(F.col(count) <= at), keys, "left")
+    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(classes.where(F.col(count) <= at), keys, how)
     return rows.join(F.broadcast(hot), keys).unionByName(rest)
 
 
