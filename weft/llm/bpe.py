@@ -30,9 +30,9 @@ from .common import trimmed
 
 #: The byte-level tokenizer's piece pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-MEMO_ROOM = 60_000  # entries of each half of the memo
+MEMO_ROOM = 150_000  # entries of each half of the memo
 MEMO_LENGTH = 48
-PAIR_ROOM = 60_000
+PAIR_ROOM = 200_000
 SLICE_BYTES = 4 << 20
 
 ENCODED = T.StructType([
