@@ -22,7 +22,7 @@ def test_watermark_delay():
 
 
 def test_final_and_panes_equal_the_batch(spark):
-    for name in ("stream_final_totals", "stream_panes_resummed"):
+    for name in ("stream_final_totals", "stream_panes_resummed", "pane_accumulated"):
         same_as_sql(spark, name, queries.QUERIES[name], queries.oracle_sql()[name])
 
 

@@ -78,7 +78,7 @@ def run_batch(flows: DataFrame, options: Options, *, consumers: list[Consumer] |
         rows.unpersist()
 
 
-def _hand_over(path: str) -> Callable[[DataFrame, int], None]:
+def hand_over(path: str) -> Callable[[DataFrame, int], None]:
     """A sink that keeps a micro-batch's rows in a folder of their own, written once however often the batch is repeated."""
 
     def write(rows: DataFrame, batch_id: int) -> None:
@@ -91,7 +91,7 @@ def _hand_over(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def _handed(spark: SparkSession, path: str) -> DataFrame:
+def handed(spark: SparkSession, path: str) -> DataFrame:
     """The rows that arrive under a path, with a watermark at the newest window's last millisecond."""
     fs = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(fs)
@@ -117,12 +117,12 @@ def start(flows: DataFrame, options: Options, folder: str, *, mode: str = "trigg
         queries.append(writer.option("checkpointLocation", f"{folder}/checkpoints/{name}").trigger(**trigger).start())
 
     more = {"floor_path": f"{folder}/floor"} if mode == "panes" else {}
-    begin(RUNS[mode](flows, _hand_over(f"{folder}/summaries"), options, **more), "summaries")
+    begin(RUNS[mode](flows, hand_over(f"{folder}/summaries"), options, **more), "summaries")
     ready = f"{folder}/summaries"
     if options.accumulation_delay_ms:
-        merged = accumulate(_handed(spark, ready), KEYS, options.accumulation_delay_ms, options.allowed_lateness_ms)
+        merged = accumulate(handed(spark, ready), KEYS, options.accumulation_delay_ms, options.allowed_lateness_ms)
         ready = f"{folder}/accumulated"
-        begin(merged.writeStream.foreachBatch(_hand_over(ready)), "accumulated")
+        begin(merged.writeStream.foreachBatch(hand_over(ready)), "accumulated")
     writers = document_sinks(options, metrics, post) if consumers is None else consumers
 
     def deliver(rows: DataFrame, batch_id: int) -> None:
@@ -134,9 +134,9 @@ def start(flows: DataFrame, options: Options, folder: str, *, mode: str = "trigg
             rows.unpersist()
 
     if writers:
-        begin(_handed(spark, ready).writeStream.foreachBatch(deliver), "documents")
+        begin(handed(spark, ready).writeStream.foreachBatch(deliver), "documents")
     if options.writes_series:
-        rows = considered(_handed(spark, ready), options)
+        rows = considered(handed(spark, ready), options)
         timed = samples(rows).withColumn("at", F.timestamp_millis("ts_ms")).withWatermark("at", "0 milliseconds")
         pointed = indexed_stream(timed, options.remote_write_accumulation_ms, options.allowed_lateness_ms)
         begin(pointed.writeStream.foreachBatch(lambda batch, _: sinks.write_series(batch, options, post)), "series")

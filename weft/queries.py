@@ -12,7 +12,7 @@ from .functions.ip import in_ranges, parse_host_filter
 from .functions.names import conversation_key, grouped_by_key, index_name, sanitize_label, sanitize_metric
 from .functions.windows import node_shift, window_number, window_start
 from .operators.flows import conversation_rows, conversation_sums, dispatch, keyed, prorate, summed
-from .operators.lattice import GROUPINGS, applications, complete, hosts, summarize, sums, top_k
+from .operators.lattice import GROUPINGS, applications, complete, hosts, sums, top_k
 from .options import Options
 from .plans.series import considered, samples
 from .plans.summaries import documents, json_documents, summaries
@@ -121,9 +121,8 @@ def flow_summary_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def summary_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Index and JSON text of the interface totals' documents."""
-    rows = summarize(_rows(spark, sf_dir), OPTIONS.top_k, ("EXPORTER_INTERFACE", "EXPORTER_INTERFACE_TOS"))
-    return json_documents(documents(rows), OPTIONS)
+    """Index and JSON text of the documents of all groupings."""
+    return json_documents(documents(all_summaries(spark, sf_dir)), OPTIONS)
 
 
 def index_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,9 +181,8 @@ def too_old_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def volume_conservation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flows within the length limit and the bytes of all their windows."""
-    short = flows(spark, sf_dir).where("last_switched - delta_switched < 800000")
-    return prorate(dispatch(short, OPTIONS)).groupBy("flow_id").agg(F.sum("bytes").alias("bytes"))
+    """The bytes of all windows of each flow: its total, less what lies before the first window within the length limit."""
+    return prorate(dispatch(flows(spark, sf_dir), OPTIONS)).groupBy("flow_id").agg(F.sum("bytes").alias("bytes"))
 
 
 def window_top_talkers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -267,6 +265,34 @@ def stream_panes_resummed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed(spark, sf_dir, final=False)
 
 
+def pane_accumulated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Interface totals of a stream in panes that keyed state merges before they are written."""
+    from .job import KEYS, ROCKS, handed, hand_over
+    from .sources.flows import stream_flows
+    from .sources.synthetic import ingest
+    from .streaming.modes import drain, run_panes
+    from .streaming.state import accumulate
+
+    folder = _shared_folder(spark, "accumulated")
+    session = spark.newSession()
+    session.conf.set("spark.sql.shuffle.partitions", str(min(16, int(spark.conf.get("spark.sql.shuffle.partitions")))))
+    session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    ingest(flows(session, sf_dir), f"{folder}/in", 4)
+    keep = hand_over(f"{folder}/panes")
+
+    def totals(batch: DataFrame, batch_id: int) -> None:
+        keep(batch.where("grouped_by = 'EXPORTER_INTERFACE'").drop("pane"), batch_id)
+
+    panes = run_panes(stream_flows(session, f"{folder}/in", files_per_trigger=1), totals, OPTIONS)
+    panes.option("checkpointLocation", f"{folder}/state/panes").trigger(availableNow=True).start().awaitTermination()
+    # windows that ended long ago are merged for the delay alone
+    merged = accumulate(handed(session, f"{folder}/panes"), KEYS, 2_000, OPTIONS.allowed_lateness_ms)
+    query = merged.writeStream.foreachBatch(hand_over(f"{folder}/out")).option("checkpointLocation", f"{folder}/state/merged")
+    query = query.trigger(processingTime="500 milliseconds").start()
+    drain(query)
+    return spark.read.option("recursiveFileLookup", "true").parquet(f"{folder}/out").select(*WINDOW, *INTERFACE, "bytes_in", "bytes_out")
+
+
 def _named() -> dict[str, Query]:
     short = {
         "EXPORTER_INTERFACE": "itf_total", "EXPORTER_INTERFACE_TOS": "tos_total", "EXPORTER_INTERFACE_APPLICATION": "app", "EXPORTER_INTERFACE_HOST": "host",
@@ -291,6 +317,7 @@ QUERIES: dict[str, Query] = {
     "missing_fields_count": missing_fields_count, "too_old_dropped": too_old_dropped, "volume_conservation": volume_conservation,
     "window_top_talkers": window_top_talkers, "application_rows": application_rows, "synthetic_flows": synthetic, "clock_skew": clock_skews,
     "sample_index": sample_index, "stream_final_totals": stream_final_totals, "stream_panes_resummed": stream_panes_resummed,
+    "pane_accumulated": pane_accumulated,
 }
 
 # --- the same in SQL -------------------------------------------------------------------------------------------------
@@ -400,6 +427,36 @@ FROM (SELECT *, 'in' AS direction, bytes_in AS value FROM summaries UNION ALL SE
 _INSIDE_SQL = "coalesce(try_cast(nullif(split_part({a}, '.', 4), '') AS INTEGER) IN (1, 3, 4, 5, 6, 7, 16, 17, 18, 19), false)"
 
 
+def _synthetic_sql() -> str:
+    """Synthetic flows by the published 64-bit xxHash of two ints and a long, in steps of unsigned arithmetic."""
+    p1, p2, p3, p4, p5 = 11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261
+    wide = lambda x: f"CAST(({x}) % 18446744073709551616::UHUGEINT AS UBIGINT)"
+    times = lambda x, p: wide(f"({x})::UHUGEINT * {p}::UHUGEINT")
+    plus = lambda x, p: wide(f"({x})::UHUGEINT + {p}::UHUGEINT")
+    turned = lambda x, n: wide(f"({x})::UHUGEINT * {2**n}::UHUGEINT + ({x}) // {2 ** (64 - n)}::UBIGINT")
+    mixed = lambda x, n: f"xor({x}, {x} // {2**n}::UBIGINT)"
+    steps: list[str] = []
+
+    def hashed(value: str, size: int) -> None:
+        if size == 4:
+            body = [plus("h", p5 + 4), f"xor(h, {times(value, p1)})", turned("h", 23), plus(times("h", p2), p3)]
+        else:
+            body = [plus("h", p5 + 8), f"xor(h, {times(turned(times(value, p2), 31), p1)})", turned("h", 27), plus(times("h", p1), p4)]
+        steps.extend([*body, times(mixed("h", 33), p2), times(mixed("h", 29), p3), mixed("h", 32)])
+
+    hashed("1", 4)
+    hashed("salt", 4)
+    hashed("idx", 8)
+    ctes = ["h0 AS (SELECT idx, salt, 42::UBIGINT AS h FROM (SELECT unnest(range(n)) AS idx FROM (SELECT count(*) AS n FROM events)), (SELECT unnest([1, 4, 5, 6, 12, 13]) AS salt))"]
+    ctes += [f"h{k + 1} AS (SELECT idx, salt, {step} AS h FROM h{k})" for k, step in enumerate(steps)]
+    signed = "CASE WHEN h >= 9223372036854775808::UBIGINT THEN h::HUGEINT - 18446744073709551616 ELSE h::HUGEINT END"
+    pick = lambda salt, n: f"max(CASE WHEN salt = {salt} THEN ((v % {n}) + {n}) % {n} END)"
+    return f"""WITH {", ".join(ctes)}, signed AS (SELECT idx, salt, {signed} AS v FROM h{len(steps)}),
+picked AS (SELECT idx, {pick(1, 5)} + 1 AS node, {pick(4, 10)} + {pick(5, 5)} + {pick(6, 5)} AS far, {pick(12, 1 << 20)} AS size, {pick(13, 2)} AS outward FROM signed GROUP BY idx)
+SELECT CAST(node AS INTEGER) AS node_id, CASE WHEN outward = 0 THEN 'INGRESS' ELSE 'EGRESS' END AS direction, count(*) AS flows,
+ CAST(sum(CAST(floor(size::DOUBLE * (exp(-0.5::DOUBLE * far::DOUBLE) * 0.5::DOUBLE)) AS BIGINT)) AS BIGINT) AS bytes FROM picked GROUP BY ALL"""
+
+
 def oracle_sql() -> dict[str, str]:
     dense, sparse = _base(), _base(dense=False)
     summaries_cte = f"{dense},\nsummaries AS ({_all_sql()})"
@@ -424,11 +481,15 @@ def oracle_sql() -> dict[str, str]:
  bytes_out AS bytes_egress, bytes_in + bytes_out AS bytes_total, dscp, congestion AS congestion_encountered, non_ect, foreign_source, foreign_id, node_id, if_index,
  application, CASE WHEN grouped_by LIKE '%HOST' THEN address END AS host_address, CASE WHEN grouped_by LIKE '%HOST' THEN nullif(hostname, '') END AS host_name,
  CASE WHEN grouped_by LIKE '%CONVERSATION' THEN {_CONVERSATION_SQL} END AS conversation_key FROM summaries""",
-        "summary_json": f"""{summaries_cte} SELECT 'netflow_agg-' || strftime(make_timestamp(range_end * 1000), '%Y-%m') AS index,
- '{{"@timestamp":' || range_end || ',"range_start":' || range_start || ',"range_end":' || range_end || ',"grouped_by":"' || grouped_by || '","aggregation_type":"TOTAL","bytes_ingress":' || bytes_in ||
+        "summary_json": f"""{summaries_cte}, docs AS (SELECT *, {total} AS aggregation_type, CASE WHEN grouped_by LIKE '%HOST' THEN address END AS host_address,
+ CASE WHEN grouped_by LIKE '%HOST' THEN nullif(hostname, '') END AS host_name, CASE WHEN grouped_by LIKE '%CONVERSATION' THEN {_CONVERSATION_SQL} END AS conversation_key FROM summaries)
+SELECT 'netflow_agg-' || strftime(make_timestamp(range_end * 1000), '%Y-%m') AS index,
+ '{{"@timestamp":' || range_end || ',"range_start":' || range_start || ',"range_end":' || range_end || ',"grouped_by":"' || grouped_by || '","aggregation_type":"' || aggregation_type || '","bytes_ingress":' || bytes_in ||
  ',"bytes_egress":' || bytes_out || ',"bytes_total":' || (bytes_in + bytes_out) || coalesce(',"dscp":' || dscp, '') || ',"congestion_encountered":' || congestion || ',"non_ect":' || non_ect ||
- ',"if_index":' || if_index || ',"exporter":{{"foreign_source":' || coalesce('"' || foreign_source || '"', 'null') || ',"foreign_id":' || coalesce('"' || foreign_id || '"', 'null') ||
- ',"node_id":' || node_id || '}}}}' AS document FROM summaries WHERE {_TOTAL_SQL}""",
+ ',"if_index":' || if_index || coalesce(',"application":' || to_json(application), '') || coalesce(',"host_address":' || to_json(host_address), '') ||
+ coalesce(',"host_name":' || to_json(host_name), '') || coalesce(',"conversation_key":' || to_json(conversation_key), '') ||
+ ',"exporter":{{"foreign_source":' || coalesce('"' || foreign_source || '"', 'null') || ',"foreign_id":' || coalesce('"' || foreign_id || '"', 'null') ||
+ ',"node_id":' || node_id || '}}}}' AS document FROM docs""",
         "index_names": f"{sparse_only} SELECT flow_id, " + ", ".join(f"'netflow_agg-' || strftime(make_timestamp(last_switched * 1000), '{p}') AS {n}" for n, p in (("yearly", "%Y"), ("monthly", "%Y-%m"), ("daily", "%Y-%m-%d"), ("hourly", "%Y-%m-%d-%H"))) + " FROM flows",
         "series_samples": f"{summaries_cte} {_SERIES_SQL}",
         "series_filtered_hosts": f"{dense},\neverything AS ({_all_sql()}), summaries AS (SELECT * FROM everything WHERE grouped_by NOT LIKE '%CONVERSATION' AND (grouped_by NOT LIKE '%HOST' OR {_INSIDE_SQL.format(a='address')})) {_SERIES_SQL}",
@@ -438,11 +499,21 @@ def oracle_sql() -> dict[str, str]:
         "complete_conversations": f"{dense}, c AS ({_grouping_sql('EXPORTER_INTERFACE_CONVERSATION', False)}) SELECT node_id, foreign_source, foreign_id, if_index, count(*) AS n, CAST(sum(bytes_in + bytes_out) AS BIGINT) AS bytes_total FROM c WHERE protocol IS NOT NULL AND address <> '' AND larger_address <> '' GROUP BY ALL",
         "missing_fields_count": f"{dense} SELECT count(*) FILTER (WHERE node_id IS NULL) AS missing, count(*) AS in_window FROM dispatched",
         "too_old_dropped": f"{_base(max_flow=10_000_000)} SELECT flow_id, count(*) AS windows, count(*) FILTER (WHERE least(delta_switched + (wn - w0) * 60000, last_switched) > last_switched - 900000) AS kept FROM dispatched GROUP BY flow_id HAVING windows > kept",
-        "volume_conservation": f"{flows_only} SELECT flow_id, CAST(trunc(CASE WHEN sampling_interval > 0 THEN num_bytes * sampling_interval ELSE num_bytes END) AS BIGINT) AS bytes FROM flows WHERE last_switched - delta_switched < 800000",
+        "volume_conservation": f"""{flows_only}, placed AS (SELECT flow_id, delta_switched AS t0, last_switched AS t1, {s60} AS shift,
+  CASE WHEN sampling_interval > 0 THEN num_bytes * sampling_interval ELSE CAST(num_bytes AS DOUBLE) END AS mb,
+  CASE WHEN t1 - 900000 < t0 THEN 0 ELSE (t1 - 900000 - t0) // 60000 + 1 END AS skipped FROM flows),
+cut AS (SELECT *, greatest(t0, shift + 60000 * least((t0 - shift) // 60000 + skipped, (t1 - shift) // 60000)) - t0 AS before FROM placed)
+SELECT flow_id, CAST(trunc(mb) AS BIGINT) - CAST(trunc(before * mb / CAST(t1 - t0 + 1 AS DOUBLE)) AS BIGINT) AS bytes FROM cut""",
         "window_top_talkers": f"{dense}, h AS (SELECT address, CAST(sum(bytes_in) AS BIGINT) AS bytes_in, CAST(sum(bytes_out) AS BIGINT) AS bytes_out FROM {_HOSTS_SQL} GROUP BY address) SELECT CAST(row_number() OVER (ORDER BY bytes_in + bytes_out DESC, address) AS INTEGER) AS rank, * FROM h QUALIFY rank <= 10",
         "application_rows": f"{dense} SELECT application, CAST(sum(bytes_in) AS BIGINT) AS bytes_in, CAST(sum(bytes_out) AS BIGINT) AS bytes_out, CAST(0 AS BIGINT) AS named FROM conv_tos GROUP BY application",
+        "sample_index": """WITH RECURSIVE arrivals AS (SELECT user_id, event_id AS arrival, event_id * 7919 % 50 AS ts_ms, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS nth FROM events),
+found AS (SELECT user_id, arrival, ts_ms, nth, 1 AS slot, [ts_ms] AS slots FROM arrivals WHERE nth = 1
+ UNION ALL SELECT user_id, arrival, ts_ms, nth, slot, slots[1:slot - 1] || [ts_ms] || slots[slot + 1:] FROM (SELECT a.*, f.slots,
+  coalesce(list_position(list_transform(f.slots, lambda held: held < a.ts_ms), true), len(f.slots) + 1) AS slot FROM found f JOIN arrivals a ON a.user_id = f.user_id AND a.nth = f.nth + 1))
+SELECT user_id, arrival, ts_ms, CAST(slot - 1 AS INTEGER) AS pane FROM found""",
+        "synthetic_flows": _synthetic_sql(),
         "clock_skew": "SELECT DISTINCT CAST(user_id % 7 + 1 AS INTEGER) AS node_id, CAST((user_id % 7) % 3 * 40000 - 40000 AS BIGINT) AS skew_ms FROM events",
-        "stream_final_totals": itf, "stream_panes_resummed": itf,
+        "stream_final_totals": itf, "stream_panes_resummed": itf, "pane_accumulated": itf,
     }
     for key in QUERIES:
         stem = key.removeprefix("topk_").removesuffix("_sum")

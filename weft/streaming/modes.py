@@ -8,11 +8,12 @@ rankings are not allowed on streams.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..operators.flows import conversation_rows, dispatch, keyed, prorate, summed
 from ..operators.lattice import summarize
@@ -110,3 +111,20 @@ def run_panes(flows: DataFrame, sink: Sink, options: Options = Options(), floor_
             batch.unpersist()
 
     return flows.writeStream.outputMode("append").foreachBatch(emit)
+
+
+def drain(query: StreamingQuery, seconds: float = 1_800) -> None:
+    """Wait until a query has taken the input it found and its keyed state has given out all it held, then stop it."""
+    end = time.monotonic() + seconds
+    try:
+        while time.monotonic() < end:
+            if query.exception():
+                raise query.exception()
+            seen = query.lastProgress
+            # the first micro-batch takes the input
+            if seen and seen["batchId"] > 0 and not seen["numInputRows"] and not any(op["numRowsTotal"] for op in seen["stateOperators"]):
+                return
+            time.sleep(0.2)
+        raise TimeoutError("the stream still holds state")
+    finally:
+        query.stop()
