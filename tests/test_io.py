@@ -5,12 +5,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import BASE, flow, frame
+from helpers import COLUMNS as FLOW_COLUMNS
 from weft.functions.ip import IPRange, in_ranges, merged, parse_host_filter
 from weft.options import Options
 from weft.plans.series import samples
 from weft.plans.summaries import documents, json_documents, summaries
 from weft.sources import protobuf, sinks
 from weft.sources.flows import client_properties, kafka_options, normalized
+from weft.sources.simulated import REPORT_DDL, exporters, flows_of_reports
 from weft.sources.synthetic import FlowConfig, TokenBucket, argument_lists, split, synthetic_flows
 from weft.streaming.state import SeriesHeap, indexed, next_index
 
@@ -41,6 +43,32 @@ def test_in_ranges_of_both_families(spark):
     assert got[:2] == [True, False] and got[2] is True and not any(got[3:])
 
 
+def test_in_ranges_of_a_long_list(spark):
+    text = ", ".join([f"10.0.{7 * k % 50}.{k}-10.0.{7 * k % 50}.{k + 9}" for k in range(40)] + [f"fe80::{k:x}00/121" for k in range(1, 9)])
+    ranges = parse_host_filter(text)
+    addresses = [f"10.0.{a}.{b}" for a in range(0, 52, 3) for b in range(0, 60)] + [f"fe80::{k:x}{n:02x}" for k in range(10) for n in (0, 127, 128)] + ["::", "a:b"]
+    got = spark.createDataFrame([(a,) for a in addresses], "a string").select("a", in_ranges(F.col("a"), ranges).alias("b")).collect()
+    inside = lambda a: a != "a:b" and any(ipaddress.ip_address(a) in r for r in ranges)
+    assert [r.b for r in got] == [inside(r.a) for r in got] and 0 < sum(r.b for r in got) < len(got)
+
+
+def test_simulated_flows(spark):
+    text = json.dumps({"exporters": [
+        {"nodeId": 1, "foreignSource": "fs", "foreignId": "a", "location": "l", "inputSnmp": 98, "outputSnmp": 99, "clockOffsetMs": -250},
+        {"nodeId": 2, "foreignSource": "fs", "foreignId": "b", "location": "", "inputSnmp": 5, "outputSnmp": 6},
+    ]})
+    reports = spark.createDataFrame([(k, k % 3 + 1, BASE + k, BASE + k + 1_000, 10 * k) for k in range(300)], REPORT_DDL)
+    of = exporters(spark, text)
+    rows = {r.flow_id: r for r in flows_of_reports(reports, of, 7).select(*FLOW_COLUMNS).collect()}
+    assert set(rows) == {k for k in range(300) if k % 3 < 2}
+    one = rows[3]
+    assert (one.node_id, one.if_index, one.location, one.delta_switched, one.last_switched, one.num_bytes) == (1, 98, "l", BASE + 3 - 250, BASE + 3 + 999 - 250, 30)
+    assert rows[4].delta_switched == BASE + 4 and {r.protocol for r in rows.values()} == {6, 17} and len({r.application for r in rows.values()}) > 50
+    names = {(r.src_address, r.src_hostname) for r in rows.values()} | {(r.dst_address, r.dst_hostname) for r in rows.values()}
+    assert len(names) == len({a for a, _ in names}) == len({h for _, h in names}) <= 100 and all(ipaddress.IPv4Address(a) for a, _ in names)
+    assert rows == {r.flow_id: r for r in flows_of_reports(reports.repartition(3), of, 7).select(*FLOW_COLUMNS).collect()}
+
+
 def test_protobuf_round_trip_and_failure(spark):
     row = {"node_id": 7, "foreign_source": "fs", "foreign_id": "fid", "direction": "EGRESS", "application": "ssh", "num_bytes": 1 << 40, "protocol": 6,
            "src_address": "a", "dst_address": "b", "first_switched": BASE, "last_switched": BASE + 5, "sampling_interval": 2.5, "output_snmp_ifindex": 3, "dscp": 0}

@@ -6,7 +6,7 @@ from weft import queries
 NAMES = [n for n in queries.oracle_sql() if n in queries.QUERIES and not n.startswith("stream_")]
 FAST = ["flows", "normalized_flows", "shift", "windows", "dispatch", "prorate", "keyed_conv_tos", "conv_tos_sum", "all_summaries", "index_names", "hosts_in_ranges",
         "sanitized_names", "series_filtered_hosts", "summary_json", "volume_conservation", "too_old_dropped", "missing_fields_count",
-        "sample_index", "synthetic_flows"]
+        "sample_index", "synthetic_flows", "simulated_flows"]
 
 
 @pytest.mark.parametrize("name", FAST)

@@ -1,3 +1,4 @@
+import struct
 import threading
 import time
 from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
@@ -236,6 +237,74 @@ def test_streaming_job_with_late_flows(spark, tmp_path):
             spark.streams.removeListener(metrics)
 
 
+def fields(data):
+    """(number, value) of a protobuf message."""
+    at = 0
+
+    def number():
+        nonlocal at
+        out = shift = 0
+        while True:
+            at += 1
+            out |= (data[at - 1] & 127) << shift
+            shift += 7
+            if data[at - 1] < 128:
+                return out
+
+    while at < len(data):
+        tag = number()
+        if tag & 7 == 0:
+            yield tag >> 3, number()
+        else:
+            n = 8 if tag & 7 == 1 else number()
+            yield tag >> 3, data[at : at + n]
+            at += n
+
+
+def pushed(server):
+    """(labels, time, value) of all samples that came."""
+    out = []
+    for path, _, block in server.got:
+        if path == "/push":
+            at = next(k for k, b in enumerate(block) if b < 128) + 1
+            data = b""
+            while at < len(block):  # literals only
+                n = block[at] >> 2
+                extra = max(0, n - 59)
+                n = int.from_bytes(block[at + 1 : at + 1 + extra], "little") if extra else n
+                data += block[at + 1 + extra : at + 2 + extra + n]
+                at += 2 + extra + n
+            for _, series in fields(data):
+                parts = list(fields(series))
+                labels = {a.decode(): b.decode() for a, b in (dict(fields(v)).values() for k, v in parts if k == 1)}
+                out += [(labels, dict(fields(v))[2], struct.unpack("<d", dict(fields(v)).get(1, bytes(8)))[0]) for k, v in parts if k == 2]
+    return out
+
+
+@pytest.mark.parametrize("merging", [0, 1_500])
+def test_streaming_job_writes_series_with_indexes(spark, tmp_path, merging):
+    """Two panes of one window are two samples with indexes 0 and 1, or samples that add up to them."""
+    put = lambda n: frame(spark, flow(num_bytes=n)).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    put(5)
+    with Server() as s:
+        options = Options(elastic_url="", remote_write_url=f"{s.url}/push", remote_write_accumulation_ms=merging, accumulation_delay_ms=merging)
+        running = job.start(
+            job.source(spark, options, "files", str(tmp_path / "in")), options, str(tmp_path / "run"), mode="panes", consumers=[], trigger={"processingTime": "300 milliseconds"}
+        )
+        totals = lambda: [(x["pane"], ts, v) for x, ts, v in pushed(s) if x["__name__"] == "EXPORTER_INTERFACE" and x["direction"] == "in"]
+        try:
+            settle(lambda: merging or totals())
+            put(7)
+            settle(lambda: sum(v for _, _, v in totals()) == 12)
+            found = totals()
+            assert len({ts for _, ts, _ in found}) == 1 and len({(p, ts) for p, ts, _ in found}) == len(found) and all(q.isActive for q in running)
+            if not merging:
+                assert [(p, v) for p, _, v in found] == [("0", 5.0), ("1", 7.0)]
+        finally:
+            for q in running:
+                q.stop()
+
+
 def test_panes_go_on_with_their_floor_after_a_restart(spark, tmp_path):
     options, rows = Options(elastic_url="", max_input_delay_ms=0, allowed_lateness_ms=60_000), []
     take = lambda df: rows.extend(df.where("grouped_by = 'EXPORTER_INTERFACE'").collect())

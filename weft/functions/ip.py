@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import ipaddress
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -126,28 +127,41 @@ def ipv4_number(address: Column) -> Column:
     return F.when(ok, number)
 
 
+def _within(number: Column, ranges: list[IPRange]) -> Column:
+    """Whether a number lies in one of ordered, disjoint ranges: a search tree of comparisons, so a long list is few steps."""
+    if len(ranges) <= 2:
+        hit = F.lit(False)
+        for r in ranges:
+            hit = hit | number.between(int(r.begin), int(r.end))
+        return hit
+    half = len(ranges) // 2
+    return F.when(number < int(ranges[half].begin), _within(number, ranges[:half])).otherwise(_within(number, ranges[half:]))
+
+
 def in_ranges(address: Column, ranges: list[IPRange]) -> Column:
     """Whether the text is an address in one of the ranges; empty and malformed texts are not.
 
-    IPv4 is plain arithmetic; only a filter with IPv6 ranges adds an Arrow function, for texts with a colon.
+    IPv4 is plain arithmetic; only a filter with IPv6 ranges adds an Arrow function, for texts with a colon, which tests
+    each different text once.
     """
-    number, hit = ipv4_number(address), F.lit(False)
-    for r in merged([r for r in ranges if r.begin.version == 4]):
-        hit = hit | number.between(int(r.begin), int(r.end))
-    hit = F.coalesce(hit, F.lit(False))
+    number = ipv4_number(address)
+    hit = F.coalesce(_within(number, merged([r for r in ranges if r.begin.version == 4])), F.lit(False))
     wide = merged([r for r in ranges if r.begin.version == 6])
     if wide:
+        begins = [int(r.begin) for r in wide]
+
+        def test(text: str) -> bool:
+            try:
+                a = ipaddress.IPv6Address(text)
+            except ValueError:
+                return False
+            k = bisect.bisect_right(begins, int(a)) - 1
+            return k >= 0 and a in wide[k]
 
         @F.pandas_udf("boolean")
         def in_wide(texts: pd.Series) -> pd.Series:
-            def test(text) -> bool:
-                try:
-                    a = ipaddress.ip_address(text)
-                except ValueError:
-                    return False
-                return any(a in r for r in wide)
-
-            return texts.map(test, na_action="ignore").fillna(False).astype(bool)
+            found = {t: test(t) for t in texts.dropna().unique()}
+            return texts.map(found).fillna(False).astype(bool)
 
         hit = F.when(address.contains(":"), in_wide(address)).otherwise(hit)
     return hit

@@ -137,8 +137,7 @@ def start(flows: DataFrame, options: Options, folder: str, *, mode: str = "trigg
         begin(handed(spark, ready).writeStream.foreachBatch(deliver), "documents")
     if options.writes_series:
         rows = considered(handed(spark, ready), options)
-        timed = samples(rows).withColumn("at", F.timestamp_millis("ts_ms")).withWatermark("at", "0 milliseconds")
-        pointed = indexed_stream(timed, options.remote_write_accumulation_ms, options.allowed_lateness_ms)
+        pointed = indexed_stream(samples(rows, keep=("at",)), options.remote_write_accumulation_ms, options.allowed_lateness_ms)
         begin(pointed.writeStream.foreachBatch(lambda batch, _: sinks.write_series(batch, options, post)), "series")
     return queries
 

@@ -46,11 +46,12 @@ def labels(direction: Column, pane: Column, fixed: dict[str, str]) -> Column:
     return F.map_filter(F.create_map(*[x for k, v in pairs for x in (sanitize_label(F.lit(k)), v)]), lambda _, v: v.isNotNull())
 
 
-def samples(rows: DataFrame, *, pane: Column | None = None, fixed: dict[str, str] | None = None, metric: str | None = None) -> DataFrame:
-    """(metric, labels, ts_ms, value): two samples a row, at the last millisecond of its range."""
+def samples(rows: DataFrame, *, pane: Column | None = None, fixed: dict[str, str] | None = None, metric: str | None = None,
+            keep: tuple[str, ...] = ()) -> DataFrame:
+    """(metric, labels, ts_ms, value) and columns to keep: two samples a row, at the last millisecond of its range."""
     name = sanitize_metric(F.lit(metric)) if metric else metric_name()
     both = F.array(*[F.struct(F.lit(d).alias("direction"), F.col(c).cast("double").alias("value")) for d, c in (("in", "bytes_in"), ("out", "bytes_out"))])
     return rows.withColumn("__metric", name).withColumn("__s", F.explode(both)).select(
         F.col("__metric").alias("metric"), labels(F.col("__s.direction"), F.lit(0) if pane is None else pane, fixed or {}).alias("labels"),
-        (F.col("range_end") - 1).alias("ts_ms"), F.col("__s.value").alias("value"),
+        (F.col("range_end") - 1).alias("ts_ms"), F.col("__s.value").alias("value"), *keep,
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
 
@@ -18,6 +19,7 @@ from .plans.series import considered, samples
 from .plans.summaries import documents, json_documents, summaries
 from .schema import CONVERSATION, INTERFACE, WINDOW
 from .sources.flows import DENSE_MS, FIXTURE, event_time, flows_from_events, normalized
+from .sources.simulated import exporters, flows_of_reports
 from .sources.synthetic import FlowConfig, clock_skew, synthetic_flows
 
 OPTIONS = Options(top_k=2, remote_write_hosts="10.0.0.3-10.0.0.7, 10.0.0.16/30, 10.0.0.1")
@@ -203,6 +205,23 @@ def synthetic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return synthetic_flows(spark, n).groupBy("node_id", "direction").agg(F.count(F.lit(1)).alias("flows"), F.sum("num_bytes").alias("bytes"))
 
 
+def simulated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flows of simulated reports, one an event, by exporters of which one has a clock of its own."""
+    text = json.dumps({"exporters": [
+        {"nodeId": n, "foreignSource": "fs", "foreignId": f"fid{n}", "location": "l", "inputSnmp": 10 + n, "outputSnmp": 20 + n, "clockOffsetMs": 500 if n == 2 else 0}
+        for n in (1, 2, 3)
+    ]})
+    reports = events(spark, sf_dir).selectExpr(
+        "event_id AS report_id", "CAST(user_id % 4 + 1 AS INT) AS node_id", "1704067200000 + event_id * 700 AS start_ms",
+        "1704067200000 + event_id * 700 + user_id AS end_ms", "CAST(round(value * 1000) AS BIGINT) AS bytes",
+    )
+    found = flows_of_reports(reports, exporters(spark, text))
+    return found.select(
+        "flow_id", "node_id", "foreign_id", "if_index", "delta_switched", "last_switched", "num_bytes", F.col("protocol").isin(6, 17).alias("known_protocol"),
+        F.length("application").alias("application_length"),
+    )
+
+
 def clock_skews(spark: SparkSession, sf_dir: str) -> DataFrame:
     nodes = events(spark, sf_dir).select((F.col("user_id") % 7 + 1).cast("int").alias("node_id")).distinct()
     return nodes.select("node_id", clock_skew(F.col("node_id"), SKEWED).alias("skew_ms"))
@@ -315,7 +334,7 @@ QUERIES: dict[str, Query] = {
     "series_samples": series_samples, "series_filtered_hosts": series_filtered_hosts, "hosts_in_ranges": hosts_in_ranges,
     "sanitized_names": sanitized_names, "conversation_keys": conversation_keys, "complete_conversations": complete_conversations,
     "missing_fields_count": missing_fields_count, "too_old_dropped": too_old_dropped, "volume_conservation": volume_conservation,
-    "window_top_talkers": window_top_talkers, "application_rows": application_rows, "synthetic_flows": synthetic, "clock_skew": clock_skews,
+    "window_top_talkers": window_top_talkers, "application_rows": application_rows, "synthetic_flows": synthetic, "clock_skew": clock_skews, "simulated_flows": simulated,
     "sample_index": sample_index, "stream_final_totals": stream_final_totals, "stream_panes_resummed": stream_panes_resummed,
     "pane_accumulated": pane_accumulated,
 }
@@ -512,6 +531,9 @@ found AS (SELECT user_id, arrival, ts_ms, nth, 1 AS slot, [ts_ms] AS slots FROM
   coalesce(list_position(list_transform(f.slots, lambda held: held < a.ts_ms), true), len(f.slots) + 1) AS slot FROM found f JOIN arrivals a ON a.user_id = f.user_id AND a.nth = f.nth + 1))
 SELECT user_id, arrival, ts_ms, CAST(slot - 1 AS INTEGER) AS pane FROM found""",
         "synthetic_flows": _synthetic_sql(),
+        "simulated_flows": """SELECT flow_id, node_id, 'fid' || node_id AS foreign_id, node_id + 10 AS if_index, t0 AS delta_switched, t0 + user_id - 1 AS last_switched, num_bytes,
+  true AS known_protocol, 15 AS application_length FROM (SELECT event_id AS flow_id, user_id, CAST(user_id % 4 + 1 AS INTEGER) AS node_id,
+  1704067200000 + event_id * 700 + CASE WHEN user_id % 4 = 1 THEN 500 ELSE 0 END AS t0, CAST(round(value * 1000) AS BIGINT) AS num_bytes FROM events) WHERE node_id <= 3""",
         "clock_skew": "SELECT DISTINCT CAST(user_id % 7 + 1 AS INTEGER) AS node_id, CAST((user_id % 7) % 3 * 40000 - 40000 AS BIGINT) AS skew_ms FROM events",
         "stream_final_totals": itf, "stream_panes_resummed": itf, "pane_accumulated": itf,
     }
