@@ -79,23 +79,41 @@ def run_batch(flows: DataFrame, options: Options, *, consumers: list[Consumer] |
 
 
 def hand_over(path: str) -> Callable[[DataFrame, int], None]:
-    """A sink that keeps a micro-batch's rows in a folder of their own, written once however often the batch is repeated."""
+    """A sink that keeps a micro-batch's rows in a folder of their own, written once however often the batch is repeated.
+
+    Micro-batches without rows, as keyed state that waits for its timers makes all the time, leave no folder.
+    """
 
     def write(rows: DataFrame, batch_id: int) -> None:
-        name = f"{path}/batch={batch_id:09d}"
-        pane = rows.select(F.first("pane")).first()[0] if "pane" in rows.columns else None
-        at = name if pane is None else f"{name}-{pane}"
-        if not sinks.path_exists(rows.sparkSession, f"{at}/_SUCCESS"):
-            rows.select(*KEYS, *VALUES).write.mode("overwrite").parquet(at)
+        rows = rows.persist()
+        try:
+            first = rows.head(1)
+            if not first:
+                return
+            pane = first[0]["pane"] if "pane" in rows.columns else None
+            at = f"{path}/batch={batch_id:09d}" + ("" if pane is None else f"-{pane}")
+            if not sinks.path_exists(rows.sparkSession, f"{at}/_SUCCESS"):
+                rows.select(*KEYS, *VALUES).write.mode("overwrite").parquet(at)
+        finally:
+            rows.unpersist()
 
     return write
 
 
-def handed(spark: SparkSession, path: str) -> DataFrame:
-    """The rows that arrive under a path, with a watermark at the newest window's last millisecond."""
+def _made(spark: SparkSession, path: str) -> str:
     fs = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(fs)
-    rows = spark.readStream.schema(HANDED_DDL).option("recursiveFileLookup", "true").parquet(path)
+    return path
+
+
+def handed_rows(spark: SparkSession, path: str) -> DataFrame:
+    """All rows that were handed over under a path."""
+    return spark.read.schema(HANDED_DDL).option("recursiveFileLookup", "true").parquet(_made(spark, path))
+
+
+def handed(spark: SparkSession, path: str) -> DataFrame:
+    """The rows that arrive under a path, with a watermark at the newest window's last millisecond."""
+    rows = spark.readStream.schema(HANDED_DDL).option("recursiveFileLookup", "true").parquet(_made(spark, path))
     return rows.withColumn("at", F.timestamp_millis(F.col("range_end") - 1)).withWatermark("at", "0 milliseconds")
 
 
@@ -116,7 +134,7 @@ def start(flows: DataFrame, options: Options, folder: str, *, mode: str = "trigg
     def begin(writer, name: str) -> None:
         queries.append(writer.option("checkpointLocation", f"{folder}/checkpoints/{name}").trigger(**trigger).start())
 
-    more = {"floor_path": f"{folder}/floor"} if mode == "panes" else {}
+    more = {"panes": {"floor_path": f"{folder}/floor"}, "final": {"cap_now": True}}.get(mode, {})
     begin(RUNS[mode](flows, hand_over(f"{folder}/summaries"), options, **more), "summaries")
     ready = f"{folder}/summaries"
     if options.accumulation_delay_ms:

@@ -286,7 +286,7 @@ def stream_panes_resummed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pane_accumulated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Interface totals of a stream in panes that keyed state merges before they are written."""
-    from .job import KEYS, ROCKS, handed, hand_over
+    from .job import KEYS, ROCKS, hand_over, handed, handed_rows
     from .sources.flows import stream_flows
     from .sources.synthetic import ingest
     from .streaming.modes import drain, run_panes
@@ -309,7 +309,7 @@ def pane_accumulated(spark: SparkSession, sf_dir: str) -> DataFrame:
     query = merged.writeStream.foreachBatch(hand_over(f"{folder}/out")).option("checkpointLocation", f"{folder}/state/merged")
     query = query.trigger(processingTime="500 milliseconds").start()
     drain(query)
-    return spark.read.option("recursiveFileLookup", "true").parquet(f"{folder}/out").select(*WINDOW, *INTERFACE, "bytes_in", "bytes_out")
+    return handed_rows(spark, f"{folder}/out").select(*WINDOW, *INTERFACE, "bytes_in", "bytes_out")
 
 
 def _named() -> dict[str, Query]:
