@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_IDS, by_class, checkpointed, partitions_for, trimmed
+from .common import BROADCAST_IDS, by_class, checkpointed, partitions_for, sweep, trimmed
 from .components import components, local_forest
 from .shingles import mix, shingle_sets
 
@@ -312,6 +312,7 @@ def grouped(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     ``head`` is the (doc_id, th) of the group's least row; null without a group.  See ``near_duplicates``.
     """
     spark = docs.sparkSession
+    sweep(spark)
     texts = _texts(docs, id_col, text_col)
     paths = ", ".join(f"p{d}: bigint" for d in range(DEPTH))
     schema = f"doc_id long, th long, h1 long, h2 long, size long, sketch binary, chains array<struct<{paths}>>"
@@ -323,7 +324,9 @@ def grouped(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
             F.first("sketch").alias("sketch"), F.first("chains").alias("chains"),
         ).withColumn("rep", F.monotonically_increasing_id())
     )
+    sweep(spark)
     members = checkpointed(_buckets(classes))
+    sweep(spark)
     paths_of = members.groupBy("rep").agg(F.sort_array(F.collect_set("path")).alias("paths"))
     facts = classes.select("rep", "head", "size", "n_docs", "sketch").join(paths_of, "rep").withColumn("n_paths", F.size("paths").cast("long"))
     facts = checkpointed(facts)
@@ -332,6 +335,8 @@ def grouped(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     first_pass = _tasks(members).join(facts.drop("n_docs", "head"), "rep").select(*key, "rep", "block", "size", "sketch", "paths", "n_paths")
     dealt = first_pass.repartition(n_tasks, *key).sortWithinPartitions(*key, "rep")
     likely = checkpointed(dealt.mapInArrow(trimmed(_likely), "path long, bi long, bj long, rep long, block long"))
+    del first_pass, dealt
+    sweep(spark)
 
     needed = checkpointed(likely.select("rep").distinct().join(facts.select("rep", "head.*"), "rep"))
 
@@ -349,6 +354,8 @@ def grouped(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     n_tasks = partitions_for(likely.count(), 4_000, spark)
     dealt = second_pass.repartition(n_tasks, *key).sortWithinPartitions(*key, "rep")
     found = checkpointed(dealt.mapInArrow(trimmed(_verify), "a long, b long, links long"))
+    del sets, second_pass, dealt
+    sweep(spark)
 
     counts = found.where("a = b").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     group = components(found.where("a <> b").select("a", "b")).withColumnRenamed("node", "rep")
@@ -359,6 +366,7 @@ def grouped(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     of_class = checkpointed(of_class.select(
         "h1", "h2", "n_docs", F.coalesce("links", F.lit(0)).alias("links"), F.col("head.doc_id").alias("class_id"), F.coalesce("group_head", "head").alias("head"),
     ))
+    sweep(spark)
     keyed = signed.select("doc_id", "th", F.when(F.col("doc_id").isNotNull(), F.col("h1")).alias("h1"), "h2")
     return by_class(keyed, of_class, ["h1", "h2"], "n_docs").select(
         "doc_id", "th", F.coalesce("class_id", "doc_id").alias("class_id"),

@@ -43,6 +43,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def sweep(spark: SparkSession) -> None:
+    """Free the disk of shuffles that no plan needs any more, once a checkpoint has cut them off.
+
+    Spark deletes a shuffle's files on all executors when the driver's JVM collects the plan that made them, which a
+    driver with little garbage puts off while the files of a long job pile up.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def train_row(id_col: Column) -> Column:
     """True where a labelled row may be learned from: crc32(id as text) mod 4 is not 2."""
     return ~held_out_row(id_col)
