@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from helpers import BASE, flow, frame
 from weft.functions.windows import node_shift, start_of_number, window_number, window_start
-from weft.operators.flows import conversation_sums, dispatch, prorate
-from weft.operators.lattice import sums
+from weft.operators.flows import conversation_sums, dispatch, prorate, shares
+from weft.operators.lattice import GROUPINGS, summarize, sums
 from weft.options import Options
 from weft.plans.summaries import documents, summaries
 
@@ -140,3 +140,39 @@ def test_bad_options(args):
 def test_options():
     o = Options.from_args(["--top-k=3", "--remote_write_url=http://x", "--elastic_url="])
     assert (o.top_k, o.writes_series, o.writes_elastic, o.writes_kafka) == (3, True, False, False)
+
+
+def random_flows(seed, n=150):
+    rng = random.Random(seed)
+    pick = lambda *v: rng.choice(v)
+    return [
+        flow(flow_id=i, node_id=pick(None, 1, 2), foreign_id=pick("", "a"), if_index=pick(None, 1, 2), direction=pick("INGRESS", "EGRESS", None), application=pick("", "web", None, "dns"),
+             location=pick("", None, "x"), protocol=pick(None, 6, 17), src_address=pick("", None, "h1", "h2", "h3"), dst_address=pick("h1", "h2", ""), src_hostname=pick("", None, "b", "c", "d"),
+             dst_hostname=pick("a", None, "", "e"), dscp=pick(None, 0, 4), ecn=pick(None, 0, 3), delta_switched=BASE + (start := rng.randrange(8_000_000)), last_switched=BASE + start + rng.randrange(1_300_000),
+             num_bytes=pick(0, 5, 1000), sampling_interval=pick(None, 0.0, 2.5))
+        for i in range(n)
+    ]
+
+
+@pytest.mark.parametrize(("seed", "k", "names"), [(1, 2, tuple(GROUPINGS)), (2, 50, tuple(GROUPINGS)), (3, 1, ("EXPORTER_INTERFACE_HOST",)), (4, 3, ("EXPORTER_INTERFACE_TOS_CONVERSATION", "EXPORTER_INTERFACE"))])
+def test_flows_are_summed_in_one_branch_as_by_families(spark, seed, k, names):
+    """Names differ between windows of a block, texts and numbers are missing, windows lie in several blocks."""
+    df, options = frame(spark, *random_flows(seed)), Options(top_k=k)
+    got, expected = summaries(df, options, names), summarize(conversation_sums(df, options), k, names)
+    assert got.columns == expected.columns and got.dtypes == expected.dtypes
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, expected.collect()))
+
+
+def test_summaries_shuffle_flows_alone(spark, tmp_path):
+    """One scan and one exchange, of flows before they are copied to windows, and no sums by sorting."""
+    frame(spark, *random_flows(5)).write.parquet(f"{tmp_path}/flows")
+    plan = summaries(spark.read.parquet(f"{tmp_path}/flows"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange ") == 1 and "SortAggregate" not in plan
+    assert plan.index("Window") < plan.index("HashAggregate") < plan.index("sequence(greatest(__first") < plan.index("Exchange ")
+
+
+def test_tasks_grow_with_the_flows(spark, tmp_path):
+    spark.range(200_000).selectExpr("id", "hash(id) AS x").write.parquet(f"{tmp_path}/t")
+    some = spark.read.parquet(f"{tmp_path}/t")
+    assert shares(some.unionAll(some).unionAll(some).unionAll(some)) > shares(some) > 1
+    assert shares(spark.createDataFrame(spark.sparkContext.parallelize([(1,)]), "x int")) is None

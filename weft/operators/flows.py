@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.names import UNKNOWN_APPLICATION
@@ -12,19 +12,19 @@ from ..schema import CONVERSATION, INTERFACE, WINDOW
 
 
 BLOCK = 64  # windows
+SHARE = 1 << 18  # bytes of flows, as Spark estimates them, for a task that makes all copies and sums of its flows
+MOST_TASKS = 100_000
 
 
-def dispatch(flows: DataFrame, options: Options = Options(), co_locate: tuple[str, ...] = ()) -> DataFrame:  # noqa: B008
-    """Each flow once for every window of its node that it overlaps, with range_start and range_end.
+def shares(flows: DataFrame) -> int | None:
+    """How many tasks share the flows so that sums and rankings stay in memory, or None if their size is not known."""
+    at = int(flows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) if hasattr(flows, "_jdf") else None
+    n = None if at is None else -(-at // SHARE)
+    return None if n is None or n > MOST_TASKS else max(n, flows.sparkSession.sparkContext.defaultParallelism)
 
-    Flows that start before the node's first window are dropped.  A copy further back than ``max_flow_ms`` from the
-    flow's end is dropped as well: the sequence starts behind those, so a flow of any length makes a bounded number of
-    rows.  A flow that ends in a window before the one it starts in gives none.
 
-    With ``co_locate`` flows are dealt over partitions by these columns and by blocks of BLOCK windows, ``block``,
-    before the copies are made: sums by those keys and the window then need no further exchange, so what is shuffled is
-    flows and not their many copies.  The blocks split a key that has very many flows.
-    """
+def _placed(options: Options) -> dict[str, Column]:
+    """The shift of a flow's node and the numbers of its first and last window."""
     w = options.window_ms
     start, end = F.col("delta_switched"), F.col("last_switched")
     shift = node_shift(F.col("node_id"), w)
@@ -33,14 +33,36 @@ def dispatch(flows: DataFrame, options: Options = Options(), co_locate: tuple[st
     skipped = F.when(too_far < 0, F.lit(0).cast("bigint")).otherwise(F.call_function("div", too_far, F.lit(w).cast("bigint")) + 1)
     first, last = window_number(start, shift, w), window_number(end, shift, w)
     # the last copy stands at the flow's end and is never too far back
-    rows = flows.where(start.isNotNull() & end.isNotNull() & (start >= shift))
-    rows = rows.withColumns({"__shift": shift, "__first": F.least(first + skipped, last), "__last": last}).where(last >= first)
-    if co_locate:
-        of = lambda c: F.call_function("div", F.col(c), F.lit(BLOCK).cast("bigint"))
-        rows = rows.withColumn("block", F.explode(F.sequence(of("__first"), of("__last")))).repartition(*co_locate, "block")
-        low, high = F.greatest("__first", F.col("block") * BLOCK), F.least("__last", F.col("block") * BLOCK + (BLOCK - 1))
+    return {"__shift": shift, "__from": first, "__first": F.least(first + skipped, last), "__last": last}
+
+
+def _lasting(flows: DataFrame, options: Options) -> DataFrame:
+    """Flows that have windows, with their place."""
+    start, end = F.col("delta_switched"), F.col("last_switched")
+    rows = flows.where(start.isNotNull() & end.isNotNull() & (start >= node_shift(F.col("node_id"), options.window_ms)))
+    return rows.withColumns(_placed(options)).where(F.col("__last") >= F.col("__from")).drop("__from")
+
+
+def dealt(flows: DataFrame, options: Options, keys: tuple[str, ...], tasks: int | None = None) -> DataFrame:
+    """Flows once for every block of BLOCK windows they overlap, ``block``, dealt over partitions by these columns and the block.
+
+    Sums by those keys and the window then need no further exchange once the flows are copied to their windows, so what
+    is shuffled is flows and not their many copies.  The blocks split a key that has very many flows.  With ``tasks``
+    that many share the flows, and adaptive execution joins none of them.
+    """
+    of = lambda c: F.call_function("div", F.col(c), F.lit(BLOCK).cast("bigint"))
+    rows = _lasting(flows, options).withColumn("block", F.explode(F.sequence(of("__first"), of("__last"))))
+    return rows.drop("__shift", "__first", "__last").repartition(*([tasks] if tasks else []), *keys, "block")
+
+
+def copies(flows: DataFrame, options: Options) -> DataFrame:
+    """Flows once for every window they overlap, or every window of their ``block`` if they have one."""
+    w, low, high = options.window_ms, F.col("__first"), F.col("__last")
+    if "block" in flows.columns:
+        low, high = F.greatest(low, F.col("block") * BLOCK), F.least(high, F.col("block") * BLOCK + (BLOCK - 1))
+        rows = flows.withColumns(_placed(options)).drop("__from")
     else:
-        low, high = F.col("__first"), F.col("__last")
+        rows = _lasting(flows, options)
     return (
         rows.withColumn("__wn", F.explode(F.sequence(low, high)))
         .withColumn("range_start", start_of_number(F.col("__wn"), F.col("__shift"), w))
@@ -49,6 +71,18 @@ def dispatch(flows: DataFrame, options: Options = Options(), co_locate: tuple[st
     )
 
 
+def dispatch(flows: DataFrame, options: Options = Options(), co_locate: tuple[str, ...] = ()) -> DataFrame:  # noqa: B008
+    """Each flow once for every window of its node that it overlaps, with range_start and range_end.
+
+    Flows that start before the node's first window are dropped.  A copy further back than ``max_flow_ms`` from the
+    flow's end is dropped as well: the sequence starts behind those, so a flow of any length makes a bounded number of
+    rows.  A flow that ends in a window before the one it starts in gives none.
+
+    With ``co_locate`` flows are dealt by these columns and ``block`` before the copies are made.
+    """
+    return copies(dealt(flows, options, co_locate) if co_locate else flows, options)
+
+
 def prorate(dispatched: DataFrame) -> DataFrame:
     """Adds ``bytes``: the flow's bytes, times its sampling interval if positive, that fall into the window.
 
@@ -95,11 +129,28 @@ def keyed(prorated: DataFrame, *more: str) -> DataFrame:
     return _valued(conversation_keys(prorated), *more)
 
 
+def listed(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Adds ``names``, the sorted host names of all rows with these keys that are not empty, and the ``place`` of the row's own.
+
+    The least name of any part of such rows is then that of the least place in the list, which is a number.
+    """
+    name = F.nullif(F.col("hostname"), F.lit(""))
+    rows = rows.withColumn("names", F.array_sort(F.collect_set(name).over(Window.partitionBy(*keys))))
+    return rows.withColumn("place", F.array_position("names", name))
+
+
 def summed(rows: DataFrame, keys: tuple[str, ...], named: bool = True) -> DataFrame:
     """Bytes added, flags joined by or, host names the least that is not empty, or null unless ``named``.
 
-    Without names the buffers are fixed in size, so Spark aggregates by hash; the least of texts takes a sort.
+    Without names the buffers are fixed in size, so Spark aggregates by hash; the least of texts takes a sort.  By hash
+    go also rows with the list ``names``, a function of the keys, and the ``place`` of their name in it.
     """
+    if "names" in rows.columns:
+        out = rows.groupBy(*keys, "names").agg(
+            F.sum("bytes_in").alias("bytes_in"), F.sum("bytes_out").alias("bytes_out"), F.min("place").alias("place"),
+            F.bool_or("congestion").alias("congestion"), F.bool_or("non_ect").alias("non_ect"),
+        )
+        return unnamed(out).withColumn("hostname", F.get("names", F.col("place") - 1)).drop("names", "place")
     least = lambda c: F.min(F.nullif(F.col(c), F.lit(""))).alias(c)
     out = rows.groupBy(*keys).agg(
         F.sum("bytes_in").alias("bytes_in"), F.sum("bytes_out").alias("bytes_out"), *([least("hostname"), least("hostname2")] if named else []),
@@ -121,6 +172,21 @@ def conversation_rows(flows: DataFrame, options: Options = Options()) -> DataFra
     return _valued(prorate(dispatch(conversation_keys(flows), options, co_locate=(*INTERFACE, *CONVERSATION))), "block")
 
 
+def interface_flows(flows: DataFrame, options: Options = Options()) -> DataFrame:  # noqa: B008
+    """Flows with their conversation's key and their blocks of windows, all of an interface and block in one task.
+
+    Whatever is summed and ranked within interfaces and windows then stays where it is.
+    """
+    keys = conversation_keys(flows)
+    return dealt(keys, options, INTERFACE, shares(keys))
+
+
+def copied(rows: DataFrame, options: Options) -> DataFrame:
+    """Prorated rows of ``interface_flows``, or of their ends."""
+    more = [c for c in ("block", "marks", "names", "place") if c in rows.columns]
+    return _valued(prorate(copies(rows, options)), *more)
+
+
 def conversation_sums(flows: DataFrame, options: Options = Options()) -> DataFrame:  # noqa: B008
     """The finest sums, one row a window, interface, DSCP and conversation."""
     return summed(conversation_rows(flows, options), (*WINDOW, *INTERFACE, "dscp", *CONVERSATION, "block")).drop("block")

@@ -2,7 +2,8 @@
 
 Groupings of one kind are worked out together: a conversation row becomes one row for each of them, marked with its
 name, and one aggregation and one ranking serve them all.  So there are three branches (applications with the totals,
-hosts, conversations), which share the exchange of the flows.
+hosts, conversations).  Of flows that are at hand as a table all groupings are worked out by one branch, in the tasks
+that the flows are dealt to by interface and windows.
 """
 
 from __future__ import annotations
@@ -14,8 +15,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.names import grouped_by_key
+from ..options import Options
 from ..schema import CONVERSATION, INTERFACE, WINDOW
-from .flows import summed, unnamed
+from .flows import copied, interface_flows, listed, summed, unnamed
 
 
 @dataclass(frozen=True)
@@ -45,6 +47,7 @@ GROUPINGS = {
     )
 }
 VALUES = ("bytes_in", "bytes_out", "hostname", "hostname2", "congestion", "non_ect")
+SUMMARY = (*WINDOW, "grouped_by", *INTERFACE, "dscp", *CONVERSATION, *VALUES, "grouped_by_key")
 
 
 def applications(conversations: DataFrame) -> DataFrame:
@@ -59,21 +62,26 @@ def hosts(conversations: DataFrame) -> DataFrame:
     return rows.withColumns({"address": F.col("__end.address"), "hostname": F.col("__end.hostname"), "hostname2": F.lit(None).cast("string")}).drop("__end")
 
 
+def _complete() -> Column:
+    return F.col("location").isNotNull() & F.col("protocol").isNotNull() & (F.col("address") != "") & (F.col("larger_address") != "")
+
+
 def complete(conversations: DataFrame) -> DataFrame:
     """Conversations with a location, a protocol and both addresses."""
-    return conversations.where(
-        F.col("location").isNotNull() & F.col("protocol").isNotNull() & (F.col("address") != "") & (F.col("larger_address") != "")
-    )
+    return conversations.where(_complete())
 
 
 def _family(name: str) -> str:
     return next((f for f in ("HOST", "CONVERSATION") if name.endswith(f)), "APPLICATION")
 
 
-def _family_sums(conversations: DataFrame, names: list[str]) -> DataFrame:
+def _family_rows(conversations: DataFrame, family: str) -> DataFrame:
+    return hosts(conversations) if family == "HOST" else conversations
+
+
+def _family_sums(rows: DataFrame, names: list[str]) -> DataFrame:
     """Sums of groupings of one family: grouped_by, the keys that apply (null for others) and the values."""
     family = _family(names[0])
-    rows = hosts(conversations) if family == "HOST" else conversations
     own = {"HOST": ("address",), "CONVERSATION": CONVERSATION, "APPLICATION": ("application",)}[family]
     changing = ("dscp", *(c for c in own if any(c not in GROUPINGS[n].keys for n in names)))
     kinds = dict(rows.select(*changing).dtypes)
@@ -91,14 +99,15 @@ def sums(conversations: DataFrame) -> dict[str, DataFrame]:
 
     ``conversations`` are sums by conversation and DSCP, or parts of such sums.
     """
-    return {name: _family_sums(conversations, [name]).select(*WINDOW, *g.keys, *VALUES) for name, g in GROUPINGS.items()}
+    return {name: _family_sums(_family_rows(conversations, _family(name)), [name]).select(*WINDOW, *g.keys, *VALUES) for name, g in GROUPINGS.items()}
 
 
-def _display_key(names: list[str]) -> Column:
-    keys = {n: grouped_by_key(GROUPINGS[n].dims) for n in names}
-    out = keys[names[-1]]
-    for n in names[:-1]:
-        out = F.when(F.col("grouped_by") == n, keys[n]).otherwise(out)
+def _display_key(marks: dict[str, str | int], column: str = "grouped_by") -> Column:
+    """The display key of rows of groupings that are told by their mark in a column."""
+    *others, last = marks
+    out = grouped_by_key(GROUPINGS[last].dims)
+    for n in others:
+        out = F.when(F.col(column) == marks[n], grouped_by_key(GROUPINGS[n].dims)).otherwise(out)
     return out
 
 
@@ -124,12 +133,47 @@ def summarize(conversations: DataFrame, k: int, names: tuple[str, ...] = tuple(G
     families: dict[str, list[str]] = {}
     for name in names:
         families.setdefault(_family(name), []).append(name)
-    columns = [*WINDOW, "grouped_by", *INTERFACE, "dscp", *CONVERSATION, *VALUES, "grouped_by_key"]
     kinds, parts = {"dscp": "int", "protocol": "int"}, []
     for family, members in families.items():
-        rows = _family_sums(complete(conversations) if family == "CONVERSATION" else conversations, members)
+        rows = _family_sums(_family_rows(complete(conversations) if family == "CONVERSATION" else conversations, family), members)
         # a total is the only row of its window and parent, whatever k
-        rows = _best(rows, (*INTERFACE, "grouped_by", "dscp"), _display_key(members), k)
-        missing = {c: F.lit(None).cast(kinds.get(c, "string")) for c in columns if c not in rows.columns}
-        parts.append((rows.withColumns(missing) if missing else rows).select(*columns))
+        rows = _best(rows, (*INTERFACE, "grouped_by", "dscp"), _display_key({n: n for n in members}), k)
+        missing = {c: F.lit(None).cast(kinds.get(c, "string")) for c in SUMMARY if c not in rows.columns}
+        parts.append((rows.withColumns(missing) if missing else rows).select(*SUMMARY))
     return reduce(DataFrame.unionByName, parts)
+
+
+def _ends(flows: DataFrame, families: dict[str, list[int]]) -> DataFrame:
+    """Flows as the rows that each family sums, with ``marks``, the places of its groupings, and the key columns it has."""
+    has = {"APPLICATION": [{"application": "application"}], "CONVERSATION": [{c: c for c in CONVERSATION}],
+           "HOST": [{"address": "address", "hostname": "hostname"}, {"address": "larger_address", "hostname": "hostname2"}]}
+    kinds = dict(flows.dtypes)
+    row = lambda marks, own: F.struct(
+        F.array(*map(F.lit, marks)).alias("marks"), *[(F.col(own[c]) if c in own else F.lit(None).cast(kinds[c])).alias(c) for c in (*CONVERSATION, "hostname")]
+    )
+    columns = ("marks", *CONVERSATION, "hostname")
+    rows = flows.withColumn("__e", F.explode(F.array(*[row(marks, own) for f, marks in families.items() for own in has[f]])))
+    return rows.withColumns({c: F.col("__e")[c] for c in columns} | {"hostname2": F.lit(None).cast("string")}).drop("__e")
+
+
+def summarize_flows(flows: DataFrame, options: Options, names: tuple[str, ...] = tuple(GROUPINGS)) -> DataFrame:
+    """The same of flows, by one scan and one exchange of the flows and none of their copies or sums.
+
+    Host names are listed before the flows are copied to windows, so that no sum needs a sort by names.
+    """
+    marks = {n: i for i, n in enumerate(names)}
+    families: dict[str, list[int]] = {}
+    for n, i in marks.items():
+        families.setdefault(_family(n), []).append(i)
+    rows = _ends(interface_flows(flows, options), families)
+    if "CONVERSATION" in families:
+        rows = rows.where((F.col("marks")[0] != families["CONVERSATION"][0]) | _complete())
+    if "HOST" in families:
+        rows = listed(rows, (*INTERFACE, "block", "address"))
+        rows = rows.withColumn("names", F.when(F.col("marks")[0] == families["HOST"][0], F.col("names")))
+    rows = copied(rows, options).withColumn("mark", F.explode("marks"))
+    of = lambda c: F.when(F.col("mark").isin([i for n, i in marks.items() if c in GROUPINGS[n].keys]), F.col(c))
+    rows = rows.withColumns({c: of(c) for c in ("dscp", "application")})
+    rows = summed(rows, (*WINDOW, *INTERFACE, "block", "mark", "dscp", *CONVERSATION), named=False)
+    rows = _best(rows, (*INTERFACE, "block", "mark", "dscp"), _display_key(marks, "mark"), options.top_k)
+    return rows.withColumn("grouped_by", F.element_at(F.array(*map(F.lit, names)), F.col("mark") + 1)).select(*SUMMARY)

@@ -6,15 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import conversation_key, index_name
-from ..operators.flows import conversation_rows
-from ..operators.lattice import GROUPINGS, summarize
+from ..operators.lattice import GROUPINGS, summarize_flows
 from ..options import Options
 
 TOTALS = [n for n, g in GROUPINGS.items() if g.total]
 
 
-def summaries(flows: DataFrame, options: Options = Options()) -> DataFrame:  # noqa: B008
-    return summarize(conversation_rows(flows, options), options.top_k)
+def summaries(flows: DataFrame, options: Options = Options(), names: tuple[str, ...] = tuple(GROUPINGS)) -> DataFrame:  # noqa: B008
+    return summarize_flows(flows, options, names)
 
 
 def documents(rows: DataFrame) -> DataFrame:
