@@ -13,14 +13,14 @@ from ..schema import CONVERSATION, INTERFACE, WINDOW
 
 BLOCK = 64  # windows
 SHARE = 1 << 18  # bytes of flows, as Spark estimates them, for a task that makes all copies and sums of its flows
-MOST_TASKS = 100_000
+MOST_TASKS = 20_000
+NO_SIZE = 1 << 60  # Spark says about 1 << 63 for what it knows no size of
 
 
 def shares(flows: DataFrame) -> int | None:
     """How many tasks share the flows so that sums and rankings stay in memory, or None if their size is not known."""
-    at = int(flows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) if hasattr(flows, "_jdf") else None
-    n = None if at is None else -(-at // SHARE)
-    return None if n is None or n > MOST_TASKS else max(n, flows.sparkSession.sparkContext.defaultParallelism)
+    at = int(flows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) if hasattr(flows, "_jdf") else NO_SIZE
+    return None if at >= NO_SIZE else max(min(-(-at // SHARE), MOST_TASKS), flows.sparkSession.sparkContext.defaultParallelism)
 
 
 def _placed(options: Options) -> dict[str, Column]:
