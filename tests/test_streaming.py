@@ -12,9 +12,10 @@ from weft.metrics import Metrics, flow_counts
 from weft.operators.flows import dispatch
 from weft.options import Options
 from weft.plans.summaries import summaries
+from weft.sources.flows import stream_flows
 from weft.sources.synthetic import current_time_ends, flows_of
 from weft.sources.unbounded import SyntheticFlows, register
-from weft.streaming.modes import watermark_delay_ms
+from weft.streaming.modes import run_final, watermark_delay_ms
 from weft.streaming.state import PaneAccumulator, PaneTrigger, SeriesAccumulator, SeriesIndexer
 
 
@@ -346,3 +347,23 @@ def test_unbounded_source_splits_and_goes_on_where_it_was(spark, tmp_path):
     flows = SyntheticFlows.flows(read(1000))
     assert flows.isStreaming and {"node_id", "last_switched"} <= set(flows.columns)
     assert flows_of(spark.range(3).withColumnRenamed("id", "idx"), ends=current_time_ends()).where(F.col("last_switched") > BASE).count() == 3
+
+
+@pytest.mark.parametrize("names", [("EXPORTER_INTERFACE",), ("EXPORTER_INTERFACE_TOS_HOST", "EXPORTER_INTERFACE_APPLICATION"), ("EXPORTER_INTERFACE_CONVERSATION",)])
+def test_state_of_final_windows_holds_what_the_groupings_tell_apart(spark, tmp_path, names):
+    rows = [
+        flow(flow_id=i, src_address=f"10.0.{i % 7}.1", dst_address=f"10.1.{i % 5}.1", src_hostname=f"h{i % 9}", application=f"app{i % 3}", dscp=i % 2, num_bytes=i, delta_switched=BASE + i, last_switched=BASE + 90_000 + i)
+        for i in range(210)
+    ]
+    frame(spark, *rows).coalesce(1).write.parquet(f"{tmp_path}/in")
+    late = flow(flow_id=999, node_id=-1, delta_switched=4_000_000_000_000, last_switched=4_000_000_000_000)
+    for _ in range(2):
+        frame(spark, late).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    found, options = [], Options(top_k=3)
+    stream = stream_flows(spark, f"{tmp_path}/in", files_per_trigger=1)
+    writer = run_final(stream, lambda batch, _: found.extend(batch.where("node_id > 0").collect()), options, names=names)
+    query = writer.option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert sorted(map(repr, found)) == sorted(map(repr, summaries(frame(spark, *rows), options, names).collect()))
+    if names == ("EXPORTER_INTERFACE",):  # a row a window, and not a row a conversation
+        assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]) <= 4

@@ -268,8 +268,8 @@ def _streamed(spark: SparkSession, sf_dir: str, final: bool) -> DataFrame:
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.where("grouped_by = 'EXPORTER_INTERFACE' AND node_id > 0").write.mode("overwrite").parquet(f"{folder}/out/batch={batch_id}")
 
-    run = run_final if final else run_panes
-    query = run(stream_flows(session, f"{folder}/in", files_per_trigger=1), sink, OPTIONS)
+    stream = stream_flows(session, f"{folder}/in", files_per_trigger=1)
+    query = run_final(stream, sink, OPTIONS, names=("EXPORTER_INTERFACE",)) if final else run_panes(stream, sink, OPTIONS)
     query.option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{folder}/out").groupBy(*WINDOW, *INTERFACE).agg(F.sum("bytes_in").alias("bytes_in"), F.sum("bytes_out").alias("bytes_out"))
 

@@ -104,6 +104,9 @@ def split(spark: SparkSession, n: int, parts: int, config: FlowConfig = FlowConf
     return [synthetic_flows(spark, n, config, of=parts, part=k) for k in range(parts)]
 
 
+ROW_GROUP = 8 << 20  # bytes, so that several tasks read a file
+
+
 def ingest(flows: DataFrame, folder: str, files: int, *, limiter: TokenBucket | None = None) -> None:
     """Write flows as files in the order of their ends, at the limiter's pace, for a file stream to pick up."""
     bounds = [int(x) for x in flows.approxQuantile("last_switched", [k / files for k in range(1, files)], 0.0)]
@@ -113,7 +116,7 @@ def ingest(flows: DataFrame, folder: str, files: int, *, limiter: TokenBucket |
         part = part if hi is None else part.where(F.col("last_switched") <= hi)
         if limiter:
             limiter.take(1)
-        part.coalesce(1).write.mode("append").parquet(folder)
+        part.coalesce(1).write.mode("append").option("parquet.block.size", ROW_GROUP).parquet(folder)
 
 
 @dataclass

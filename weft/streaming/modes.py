@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..operators.flows import conversation_rows, dispatch, keyed, prorate, summed
-from ..operators.lattice import summarize
+from ..operators.lattice import GROUPINGS, VALUES, summarize
 from ..options import Options
 from ..schema import CONVERSATION, INTERFACE, WINDOW
 from ..sources.flows import event_time
@@ -32,26 +32,35 @@ def watermark_delay_ms(options: Options, lossless: bool = True) -> int:
     return options.max_input_delay_ms + back + options.window_ms
 
 
-def final_sums(flows: DataFrame, options: Options = Options(), *, cap_now: bool = False) -> DataFrame:  # noqa: B008
-    """Conversation sums of a stream, each window once when it is complete (append mode)."""
+def final_sums(flows: DataFrame, options: Options = Options(), *, cap_now: bool = False, names: tuple[str, ...] = tuple(GROUPINGS)) -> DataFrame:  # noqa: B008
+    """Sums of a stream by what these groupings tell apart, each window once when it is complete (append mode).
+
+    State holds a row for each of them: for all groupings a conversation and DSCP, for totals by interface an interface.
+    Columns that no grouping needs are null.
+    """
+    needed, named = {c for n in names for c in GROUPINGS[n].keys}, any("host" in GROUPINGS[n].dims for n in names)
+    needed |= {"larger_address"} if named else set()
     rows = keyed(prorate(dispatch(flows, options)))
     at = F.timestamp_millis(F.col("range_end"))
     rows = rows.withColumn("range_end_ts", F.least(at, F.current_timestamp()) if cap_now else at)
     rows = rows.withWatermark("range_end_ts", f"{watermark_delay_ms(options)} milliseconds")
-    return summed(rows, ("range_end_ts", *WINDOW, *INTERFACE, "dscp", *CONVERSATION)).drop("range_end_ts")
+    columns, kinds = ("dscp", *CONVERSATION), dict(rows.dtypes)
+    sums = summed(rows, ("range_end_ts", *WINDOW, *INTERFACE, *(c for c in columns if c in needed)), named)
+    sums = sums.withColumns({c: F.lit(None).cast(kinds[c]) for c in columns if c not in needed})
+    return sums.select(*WINDOW, *INTERFACE, *columns, *VALUES)
 
 
-def run_final(flows: DataFrame, sink: Sink, options: Options = Options(), *, cap_now: bool = False) -> DataStreamWriter:  # noqa: B008
+def run_final(flows: DataFrame, sink: Sink, options: Options = Options(), *, cap_now: bool = False, names: tuple[str, ...] = tuple(GROUPINGS)) -> DataStreamWriter:  # noqa: B008
     """All rows of a window come in one micro-batch, so rankings there are exact.  Later rows are dropped."""
 
     def emit(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            sink(summarize(batch, options.top_k), batch_id)
+            sink(summarize(batch, options.top_k, names), batch_id)
         finally:
             batch.unpersist()
 
-    return final_sums(flows, options, cap_now=cap_now).writeStream.outputMode("append").foreachBatch(emit)
+    return final_sums(flows, options, cap_now=cap_now, names=names).writeStream.outputMode("append").foreachBatch(emit)
 
 
 def pane_sums(flows: DataFrame, options: Options = Options()) -> DataFrame:  # noqa: B008
