@@ -11,6 +11,7 @@ from weft.operators.flows import conversation_sums, dispatch, prorate, shares
 from weft.operators.lattice import GROUPINGS, summarize, sums
 from weft.options import Options
 from weft.plans.summaries import documents, summaries
+from weft.queries import QUERIES
 
 
 def python_shift(node, window):
@@ -176,3 +177,9 @@ def test_tasks_grow_with_the_flows(spark, tmp_path):
     some = spark.read.parquet(f"{tmp_path}/t")
     assert shares(some.unionAll(some).unionAll(some).unionAll(some)) > shares(some) > 1
     assert shares(spark.createDataFrame(spark.sparkContext.parallelize([(1,)]), "x int")) is None
+
+
+@pytest.mark.parametrize("name", ["series_filtered_hosts"])
+def test_queries_of_the_whole_job_shuffle_flows_alone(spark, name):
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange ") == 1 and "SortAggregate" not in plan

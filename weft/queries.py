@@ -145,7 +145,8 @@ def series_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def series_filtered_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = samples(considered(all_summaries(spark, sf_dir), OPTIONS))
+    names = tuple(n for n in GROUPINGS if not n.endswith("CONVERSATION"))  # no sample shows conversations
+    rows = samples(considered(summaries(flows(spark, sf_dir), OPTIONS, names), OPTIONS))
     return rows.select("metric", _labels_text().alias("labels"), "ts_ms", "value")
 
 
