@@ -179,7 +179,7 @@ def test_tasks_grow_with_the_flows(spark, tmp_path):
     assert shares(spark.createDataFrame(spark.sparkContext.parallelize([(1,)]), "x int")) is None
 
 
-@pytest.mark.parametrize("name", ["series_filtered_hosts", "flow_summary_docs", "summary_json"])
+@pytest.mark.parametrize("name", ["series_filtered_hosts", "flow_summary_docs", "summary_json", "series_samples"])
 def test_queries_of_the_whole_job_shuffle_flows_alone(spark, name):
     plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1 and plan.count("Exchange ") == 1 and "SortAggregate" not in plan
