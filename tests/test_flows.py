@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from helpers import BASE, flow, frame
 from weft.functions.windows import node_shift, start_of_number, window_number, window_start
-from weft.operators.flows import conversation_sums, dispatch, prorate, shares
+from weft.operators.flows import conversation_sums, dispatch, packed, prorate, shares, unpacked
 from weft.operators.lattice import GROUPINGS, summarize, sums
 from weft.options import Options
 from weft.plans.summaries import documents, summaries
@@ -183,3 +183,23 @@ def test_tasks_grow_with_the_flows(spark, tmp_path):
 def test_queries_of_the_whole_job_shuffle_flows_alone(spark, name):
     plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1 and plan.count("Exchange ") == 1 and "SortAggregate" not in plan
+
+
+def test_packed_columns_are_the_same_again(spark):
+    """Nulls, empty texts, texts with the marks of the packing and bytes that are no UTF-8."""
+    rows = [(1, "a,b:c", None, True, "\u00e9\u65e5", 2.5), (2, "", 5, None, None, None), (3, None, -1, False, "", 0.1), (4, None, None, None, None, None), (5, ":", 0, True, "1,2:", -1e300)]
+    df = spark.createDataFrame(rows, "id int, a string, b int, c boolean, d string, e double").withColumn("f", F.when(F.col("b") == 5, F.unhex(F.lit("E697FF")).cast("string")))
+    kinds = dict(df.dtypes[1:])
+    got = unpacked(packed(df, tuple(kinds)), kinds)
+    assert got.dtypes == df.dtypes
+    assert got.withColumn("f", F.hex("f")).collect() == df.withColumn("f", F.hex("f")).collect()
+
+
+@pytest.mark.parametrize("name", ["summary_json"])
+def test_queries_of_the_whole_job_shuffle_narrow_rows(spark, name):
+    """Keys of the exchange, times and bytes, and one column for all the rest."""
+    node = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().inputPlan()
+    while node.nodeName() != "Exchange":
+        node = node.children().apply(0)
+    columns = {node.output().apply(i).name() for i in range(node.output().length())}
+    assert columns == {"node_id", "foreign_source", "foreign_id", "if_index", "block", "delta_switched", "last_switched", "num_bytes", "sampling_interval", "packed"}

@@ -172,13 +172,42 @@ def conversation_rows(flows: DataFrame, options: Options = Options()) -> DataFra
     return _valued(prorate(dispatch(conversation_keys(flows), options, co_locate=(*INTERFACE, *CONVERSATION))), "block")
 
 
-def interface_flows(flows: DataFrame, options: Options = Options()) -> DataFrame:  # noqa: B008
+def packed(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """These columns as one, ``packed``: the bytes of their texts, behind the lengths of all of them; a null has none.
+
+    Texts and small numbers take several words each in a row and compress badly between others: rows that are to be
+    shuffled get smaller.
+    """
+    kinds = dict(rows.dtypes)
+    texts = [(F.col(c).cast("int") if kinds[c] == "boolean" else F.col(c)).cast("string").cast("binary") for c in columns]
+    lengths = F.concat_ws(",", *[F.coalesce(F.octet_length(x).cast("string"), F.lit("")) for x in texts], F.lit(":"))
+    bodies = [F.coalesce(x, F.lit("").cast("binary")) for x in texts]
+    return rows.withColumn("packed", F.concat(lengths.cast("binary"), *bodies)).drop(*columns)
+
+
+def unpacked(rows: DataFrame, kinds: dict[str, str]) -> DataFrame:
+    """The columns of ``packed`` again, in their order and of these types."""
+    head = F.substring_index(F.col("packed").cast("string"), ":", 1)
+    rows = rows.withColumn("__n", F.transform(F.split(head, ","), lambda n: n.try_cast("int"))).withColumn("__at", F.octet_length(head) + 2)
+    at, columns = F.col("__at"), {}
+    for i, (c, kind) in enumerate(kinds.items()):
+        n = F.get("__n", F.lit(i))
+        columns[c] = F.when(n.isNotNull(), F.substring(F.col("packed"), at, n).cast("string").cast(kind))
+        at = at + F.coalesce(n, F.lit(0))
+    return rows.withColumns(columns).drop("packed", "__n", "__at")
+
+
+def interface_flows(flows: DataFrame, options: Options, columns: tuple[str, ...]) -> DataFrame:
     """Flows with their conversation's key and their blocks of windows, all of an interface and block in one task.
 
-    Whatever is summed and ranked within interfaces and windows then stays where it is.
+    Whatever is summed and ranked within interfaces and windows then stays where it is.  Of texts and small numbers these
+    columns go through the exchange, as one; the others are null.
     """
     keys = conversation_keys(flows)
-    return dealt(keys, options, INTERFACE, shares(keys))
+    kinds = {c: k for c, k in keys.dtypes if c in ("dscp", *CONVERSATION, "ingress", "hostname", "hostname2", "congestion", "non_ect")}
+    rows = keys.select(*INTERFACE, "delta_switched", "last_switched", "num_bytes", "sampling_interval", *columns)
+    rows = unpacked(dealt(packed(rows, columns), options, INTERFACE, shares(keys)), {c: kinds[c] for c in columns})
+    return rows.withColumns({c: F.lit(None).cast(k) for c, k in kinds.items() if c not in columns})
 
 
 def copied(rows: DataFrame, options: Options) -> DataFrame:

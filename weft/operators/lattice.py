@@ -143,16 +143,21 @@ def summarize(conversations: DataFrame, k: int, names: tuple[str, ...] = tuple(G
     return reduce(DataFrame.unionByName, parts)
 
 
+#: Of what columns of a flow the rows of each family are made.
+_ENDS = {
+    "APPLICATION": [{"application": "application"}], "CONVERSATION": [{c: c for c in CONVERSATION}],
+    "HOST": [{"address": "address", "hostname": "hostname"}, {"address": "larger_address", "hostname": "hostname2"}],
+}
+
+
 def _ends(flows: DataFrame, families: dict[str, list[int]]) -> DataFrame:
     """Flows as the rows that each family sums, with ``marks``, the places of its groupings, and the key columns it has."""
-    has = {"APPLICATION": [{"application": "application"}], "CONVERSATION": [{c: c for c in CONVERSATION}],
-           "HOST": [{"address": "address", "hostname": "hostname"}, {"address": "larger_address", "hostname": "hostname2"}]}
     kinds = dict(flows.dtypes)
     row = lambda marks, own: F.struct(
         F.array(*map(F.lit, marks)).alias("marks"), *[(F.col(own[c]) if c in own else F.lit(None).cast(kinds[c])).alias(c) for c in (*CONVERSATION, "hostname")]
     )
     columns = ("marks", *CONVERSATION, "hostname")
-    rows = flows.withColumn("__e", F.explode(F.array(*[row(marks, own) for f, marks in families.items() for own in has[f]])))
+    rows = flows.withColumn("__e", F.explode(F.array(*[row(marks, own) for f, marks in families.items() for own in _ENDS[f]])))
     return rows.withColumns({c: F.col("__e")[c] for c in columns} | {"hostname2": F.lit(None).cast("string")}).drop("__e")
 
 
@@ -165,7 +170,8 @@ def summarize_flows(flows: DataFrame, options: Options, names: tuple[str, ...] =
     families: dict[str, list[int]] = {}
     for n, i in marks.items():
         families.setdefault(_family(n), []).append(i)
-    rows = _ends(interface_flows(flows, options), families)
+    own = dict.fromkeys(c for f in families for x in _ENDS[f] for c in x.values())
+    rows = _ends(interface_flows(flows, options, ("dscp", "ingress", "congestion", "non_ect", *own)), families)
     if "CONVERSATION" in families:
         rows = rows.where((F.col("marks")[0] != families["CONVERSATION"][0]) | _complete())
     if "HOST" in families:
