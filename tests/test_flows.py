@@ -195,7 +195,7 @@ def test_packed_columns_are_the_same_again(spark):
     assert got.withColumn("f", F.hex("f")).collect() == df.withColumn("f", F.hex("f")).collect()
 
 
-@pytest.mark.parametrize("name", ["summary_json", "flow_summary_docs"])
+@pytest.mark.parametrize("name", ["summary_json", "flow_summary_docs", "series_samples"])
 def test_queries_of_the_whole_job_shuffle_narrow_rows(spark, name):
     """Keys of the exchange, times and bytes, and one column for all the rest."""
     node = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().inputPlan()
