@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from helpers import BASE, flow, frame
 from weft.functions.windows import node_shift, start_of_number, window_number, window_start
-from weft.operators.flows import conversation_sums, dispatch, packed, prorate, shares, unpacked
+from weft.operators.flows import conversation_sums, dispatch, packed, prorate, shares, turned, unpacked
 from weft.operators.lattice import GROUPINGS, summarize, sums
 from weft.options import Options
 from weft.plans.summaries import documents, summaries
@@ -203,3 +203,34 @@ def test_queries_of_the_whole_job_shuffle_narrow_rows(spark, name):
         node = node.children().apply(0)
     columns = {node.output().apply(i).name() for i in range(node.output().length())}
     assert columns == {"node_id", "foreign_source", "foreign_id", "if_index", "block", "delta_switched", "last_switched", "num_bytes", "sampling_interval", "packed"}
+
+
+def test_packed_texts_may_hold_its_marks(spark):
+    texts = ["\x1f", "\x1e", "\x1e0", "\x1e1", "\x1f\x1e\x1f", "a\x1e1\x1f0b", "-", "", None]
+    df = spark.createDataFrame([(a, i % 3 == 0, b) for i, a in enumerate(texts) for b in texts], "a string, b boolean, c string")
+    assert unpacked(packed(df, ("b", "c", "a")), {"b": "boolean", "c": "string", "a": "string"}).select("a", "b", "c").collect() == df.collect()
+
+
+def test_packing_costs_a_byte_a_column_at_most(spark):
+    df = spark.createDataFrame([("abc", True, False, 5, "")], "a string, b boolean, c boolean, d int, e string")
+    assert packed(df, tuple(df.columns)).select(F.octet_length("packed")).first()[0] <= len("abc" "1" "0" "5") + 5
+
+
+def test_turned_words_are_the_same_again(spark):
+    df = spark.createDataFrame([(n,) for n in (0, 1, -1, 1 << 40, (1 << 63) - 1, -(1 << 63), -5, None)], "n bigint")
+    assert df.select(turned("n", 40).alias("n")).select(turned("n", 24)).collect() == df.collect()
+    assert df.where("n = 1").select(turned("n", 40)).first()[0] == 1 << 40
+
+
+@pytest.mark.parametrize("name", ["series_samples"])
+def test_queries_of_the_whole_job_shuffle_few_bytes(spark, name):
+    """55 bytes a flow, as written for the exchange."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        node = QUERIES[name](spark, "/root/testdata/sf0.01")._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    while node.nodeName() != "Exchange":
+        node = node.children().apply(0)
+    node.execute().count()
+    assert node.metrics().apply("shuffleBytesWritten").value() < 55 * 10_000

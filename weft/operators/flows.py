@@ -15,6 +15,7 @@ BLOCK = 64  # windows
 SHARE = 1 << 18  # bytes of flows, as Spark estimates them, for a task that makes all copies and sums of its flows
 MOST_TASKS = 20_000
 NO_SIZE = 1 << 60  # Spark says about 1 << 63 for what it knows no size of
+_MARK, _NONE = "\x1f", "\x1e"  # of packed texts: before each, and for a null; a text's own are written as _NONE and a digit
 
 
 def shares(flows: DataFrame) -> int | None:
@@ -43,16 +44,20 @@ def _lasting(flows: DataFrame, options: Options) -> DataFrame:
     return rows.withColumns(_placed(options)).where(F.col("__last") >= F.col("__from")).drop("__from")
 
 
-def dealt(flows: DataFrame, options: Options, keys: tuple[str, ...], tasks: int | None = None) -> DataFrame:
-    """Flows once for every block of BLOCK windows they overlap, ``block``, dealt over partitions by these columns and the block.
+def blocks(flows: DataFrame, options: Options) -> DataFrame:
+    """Flows once for every block of BLOCK windows they overlap, ``block``."""
+    of = lambda c: F.call_function("div", F.col(c), F.lit(BLOCK).cast("bigint"))
+    rows = _lasting(flows, options).withColumn("block", F.explode(F.sequence(of("__first"), of("__last"))))
+    return rows.drop("__shift", "__first", "__last")
+
+
+def dealt(flows: DataFrame, options: Options, keys: tuple[str, ...]) -> DataFrame:
+    """Flows once for every block they overlap, dealt over partitions by these columns and the block.
 
     Sums by those keys and the window then need no further exchange once the flows are copied to their windows, so what
-    is shuffled is flows and not their many copies.  The blocks split a key that has very many flows.  With ``tasks``
-    that many share the flows, and adaptive execution joins none of them.
+    is shuffled is flows and not their many copies.  The blocks split a key that has very many flows.
     """
-    of = lambda c: F.call_function("div", F.col(c), F.lit(BLOCK).cast("bigint"))
-    rows = _lasting(flows, options).withColumn("block", F.explode(F.sequence(of("__first"), of("__last"))))
-    return rows.drop("__shift", "__first", "__last").repartition(*([tasks] if tasks else []), *keys, "block")
+    return blocks(flows, options).repartition(*keys, "block")
 
 
 def copies(flows: DataFrame, options: Options) -> DataFrame:
@@ -173,40 +178,54 @@ def conversation_rows(flows: DataFrame, options: Options = Options()) -> DataFra
 
 
 def packed(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """These columns as one, ``packed``: the bytes of their texts, behind the lengths of all of them; a null has none.
+    """These columns as one, ``packed``: a character for each boolean, then the others as texts, with a mark before each.
 
     Texts and small numbers take several words each in a row and compress badly between others: rows that are to be
-    shuffled get smaller.
+    shuffled get smaller.  No lengths stand between texts, so texts that often follow each other compress as one.
     """
     kinds = dict(rows.dtypes)
-    texts = [(F.col(c).cast("int") if kinds[c] == "boolean" else F.col(c)).cast("string").cast("binary") for c in columns]
-    lengths = F.concat_ws(",", *[F.coalesce(F.octet_length(x).cast("string"), F.lit("")) for x in texts], F.lit(":"))
-    bodies = [F.coalesce(x, F.lit("").cast("binary")) for x in texts]
-    return rows.withColumn("packed", F.concat(lengths.cast("binary"), *bodies)).drop(*columns)
+    flags = [F.coalesce(F.col(c).cast("int").cast("string"), F.lit("-")) for c in columns if kinds[c] == "boolean"]
+    plain = lambda c: F.replace(F.replace(F.col(c), F.lit(_NONE), F.lit(_NONE + "0")), F.lit(_MARK), F.lit(_NONE + "1"))
+    text = lambda c: plain(c) if kinds[c] == "string" else F.col(c).cast("string")
+    texts = [F.coalesce(text(c), F.lit(_NONE)) for c in columns if kinds[c] != "boolean"]
+    return rows.withColumn("packed", F.concat_ws(_MARK, F.concat(F.lit(""), *flags), *texts)).drop(*columns)
 
 
 def unpacked(rows: DataFrame, kinds: dict[str, str]) -> DataFrame:
     """The columns of ``packed`` again, in their order and of these types."""
-    head = F.substring_index(F.col("packed").cast("string"), ":", 1)
-    rows = rows.withColumn("__n", F.transform(F.split(head, ","), lambda n: n.try_cast("int"))).withColumn("__at", F.octet_length(head) + 2)
-    at, columns = F.col("__at"), {}
-    for i, (c, kind) in enumerate(kinds.items()):
-        n = F.get("__n", F.lit(i))
-        columns[c] = F.when(n.isNotNull(), F.substring(F.col("packed"), at, n).cast("string").cast(kind))
-        at = at + F.coalesce(n, F.lit(0))
-    return rows.withColumns(columns).drop("packed", "__n", "__at")
+    flags, others = [c for c, k in kinds.items() if k == "boolean"], [c for c, k in kinds.items() if k != "boolean"]
+    columns: dict[str, Column] = {}
+    for c, kind in kinds.items():
+        if kind == "boolean":
+            flag = F.substring("packed", flags.index(c) + 1, 1)
+            columns[c] = F.when(flag != "-", flag == "1")
+        else:
+            text = F.nullif(F.substring_index(F.substring_index(F.col("packed"), _MARK, others.index(c) + 2), _MARK, -1), F.lit(_NONE))
+            text = F.replace(F.replace(text, F.lit(_NONE + "1"), F.lit(_MARK)), F.lit(_NONE + "0"), F.lit(_NONE)) if kind == "string" else text
+            columns[c] = text.cast(kind)
+    return rows.withColumns(columns).drop("packed")
+
+
+def turned(column: str, bits: int) -> Column:
+    """The word with its bits turned left, the first ones to its end."""
+    word = F.col(column).cast("bigint")
+    return F.shiftleft(word, bits).bitwiseOR(F.shiftrightunsigned(word, 64 - bits))
 
 
 def interface_flows(flows: DataFrame, options: Options, columns: tuple[str, ...]) -> DataFrame:
     """Flows with their conversation's key and their blocks of windows, all of an interface and block in one task.
 
     Whatever is summed and ranked within interfaces and windows then stays where it is.  Of texts and small numbers these
-    columns go through the exchange, as one; the others are null.
+    columns go through the exchange, as one; the others are null.  Every other word is turned for the exchange, so that
+    the bytes which differ from row to row stand beside those of the next word, and the rest compresses.
     """
     keys = conversation_keys(flows)
     kinds = {c: k for c, k in keys.dtypes if c in ("dscp", *CONVERSATION, "ingress", "hostname", "hostname2", "congestion", "non_ect")}
-    rows = keys.select(*INTERFACE, "delta_switched", "last_switched", "num_bytes", "sampling_interval", *columns)
-    rows = unpacked(dealt(packed(rows, columns), options, INTERFACE, shares(keys)), {c: kinds[c] for c in columns})
+    rows = keys.select(*INTERFACE, "sampling_interval", "delta_switched", "last_switched", "num_bytes", *columns)
+    rows = blocks(packed(rows, columns), options).select(*INTERFACE, "block", "sampling_interval", "delta_switched", "last_switched", "num_bytes", "packed")
+    tasks, words = shares(keys), ("delta_switched", "num_bytes")
+    rows = rows.withColumns({c: turned(c, 40) for c in words}).repartition(*([tasks] if tasks else []), *INTERFACE, "block")
+    rows = unpacked(rows.withColumns({c: turned(c, 24) for c in words}), {c: kinds[c] for c in columns})
     return rows.withColumns({c: F.lit(None).cast(k) for c, k in kinds.items() if c not in columns})
 
 

@@ -171,7 +171,7 @@ def summarize_flows(flows: DataFrame, options: Options, names: tuple[str, ...] =
     for n, i in marks.items():
         families.setdefault(_family(n), []).append(i)
     own = dict.fromkeys(c for f in families for x in _ENDS[f] for c in x.values())
-    rows = _ends(interface_flows(flows, options, ("dscp", "ingress", "congestion", "non_ect", *own)), families)
+    rows = _ends(interface_flows(flows, options, ("ingress", "congestion", "non_ect", "dscp", *own)), families)
     if "CONVERSATION" in families:
         rows = rows.where((F.col("marks")[0] != families["CONVERSATION"][0]) | _complete())
     if "HOST" in families:
