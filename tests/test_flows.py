@@ -222,7 +222,7 @@ def test_turned_words_are_the_same_again(spark):
     assert df.where("n = 1").select(turned("n", 40)).first()[0] == 1 << 40
 
 
-@pytest.mark.parametrize("name", ["series_samples"])
+@pytest.mark.parametrize("name", ["flow_summary_docs", "series_samples"])
 def test_queries_of_the_whole_job_shuffle_few_bytes(spark, name):
     """55 bytes a flow, as written for the exchange."""
     spark.conf.set("spark.sql.adaptive.enabled", "false")
